@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -35,8 +35,8 @@ def fit_sparse_columns(df: DataFrame, threshold: float = K.DROP_MISSING_ABOVE) -
     return {c: k / n for c, k in nulls.items() if n and k / n > threshold}
 
 
-def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    return {c: q[0] for c, q in exact_quantiles(df, cols, [0.5]).items()}
+def fit_medians(df: DataFrame, cols: Sequence[str], sizes: dict[str, int] | None = None) -> dict[str, float]:
+    return {c: q[0] for c, q in exact_quantiles(df, cols, [0.5], sizes=sizes).items()}
 
 
 def impute(df: DataFrame, medians: dict[str, float], labels: Sequence[str] = ()) -> DataFrame:
@@ -61,15 +61,19 @@ def route_cardinality(df: DataFrame, cols: Sequence[str], max_levels: int = K.ON
 
 
 def fit_encoding(df: DataFrame, cols: Sequence[str], max_levels: int = K.ONE_HOT_MAX_LEVELS) -> EncodingSpec:
+    """Route by cardinality and fetch the levels of the one-hot columns in one job.
+
+    Only the first ``max_levels + 1`` levels per column are kept (limited map-side too): enough to see that a column has
+    too many.
+    """
     if not cols:
         return EncodingSpec({}, [])
-    route = {r.column: r.encoding for r in route_cardinality(df, cols, max_levels).collect()}
-    low = [c for c in cols if route.get(c) != "frequency"]
-    levels: dict[str, list[str]] = {c: [] for c in low}
-    if low:  # at most max_levels rows per column
-        for r in level_counts(df, low).where("level IS NOT NULL").collect():
-            levels[r.column].append(r.level)
-    return EncodingSpec({c: sorted(v) for c, v in levels.items()}, [c for c in cols if route.get(c) == "frequency"])
+    nth = F.row_number().over(Window.partitionBy("column").orderBy("level"))
+    found: dict[str, list] = {c: [] for c in cols}
+    for r in level_counts(df, cols).withColumn("nth", nth).where(F.col("nth") <= max_levels + 1).collect():
+        found[r.column].append(r.level)
+    low = {c: sorted(v for v in vs if v is not None) for c, vs in found.items() if len(vs) <= max_levels}
+    return EncodingSpec(low, [c for c in cols if c not in low])
 
 
 def one_hot(df: DataFrame, levels: dict[str, list[str]], drop_first: bool = True) -> DataFrame:
@@ -174,8 +178,10 @@ def fit_cleaning(
     split = fit_stratified_split(df, id_col, target, fractions, seed)
     holes = {c: nulls[c] for c in kept.columns if nulls[c] and c not in (id_col, target)}
     numbers = [c for c in numeric_columns(kept) if c in holes]
-    base = kept if fit_on == "all" else kept.where(split.part() == "train")
-    medians = fit_medians(base, numbers)
+    if fit_on == "all":
+        medians = fit_medians(kept, numbers, {c: n - nulls[c] for c in numbers})
+    else:
+        medians = fit_medians(kept.where(split.part() == "train"), numbers)
     labels = [c for c in string_columns(kept) if c in holes]
     spec = CleaningSpec(
         n, len(df.columns), row["_s"], dropped, medians, labels, holes, EncodingSpec({}, []), split,

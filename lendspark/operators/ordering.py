@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -74,7 +75,7 @@ def running_sums(
 # ---------------------------------------------------------------------------------------------------------------------
 
 _DIGITS = 3
-MAX_STRATA = 1000
+MAX_STRATA = 64
 
 
 @dataclass(frozen=True)
@@ -94,62 +95,73 @@ def not_after(id_col: str, seed: int, cut: HashCut) -> Column:
     return (h < cut.digest) | ((h == cut.digest) & (F.col(id_col) <= cut.id))
 
 
-def stratum_sizes(df: DataFrame, strata: str | None) -> dict:
-    label = F.col(strata) if strata else F.lit(0)
-    rows = df.groupBy(label.alias("s")).agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
+def hash_prefix_counts(df: DataFrame, id_col: str, seed: int, strata: str | None) -> dict[tuple, int]:
+    """{(stratum, first three hex digits): rows}: at most 4,096 numbers per stratum, and strata are few (checked)."""
+    keyed = _keyed(df, id_col, seed, strata)
+    cap = MAX_STRATA * 16**_DIGITS
+    rows = keyed.groupBy("s", F.substring("h", 1, _DIGITS).alias("p")).agg(F.count("*").alias("n")).limit(cap + 1)
+    counts = {(r.s, r.p): r.n for r in rows.collect()}
+    if len(counts) > cap:
         raise ValueError(f"{strata} has more than {MAX_STRATA} values; stratify on a label or class column")
-    return {r.s: r.n for r in rows}
+    return counts
+
+
+def stratum_sizes(counts: dict[tuple, int]) -> dict:
+    sizes: dict = {}
+    for (s, _), n in counts.items():
+        sizes[s] = sizes.get(s, 0) + n
+    return sizes
+
+
+def _keyed(df: DataFrame, id_col: str, seed: int, strata: str | None) -> DataFrame:
+    label = F.col(strata) if strata else F.lit(0)
+    return df.select(label.alias("s"), hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
 
 
 def hash_cuts(
     df: DataFrame, id_col: str, seed: int, ranks: dict[object, list[int]], strata: str | None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    counts: dict[tuple, int], single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> dict[object, list[HashCut | None]]:
     """For each stratum, the rows at the given 1-based ranks in (md5, id) order; rank 0 gives None.
 
-    md5 digests are uniform, so counting rows per hex prefix tells which prefix holds a rank.  Only rows under that
+    md5 digests are uniform, so ``counts`` (rows per hex prefix) tell which prefix holds a rank.  Only rows under that
     prefix (1 in 4,096 per level) are looked at again.  Transforming with the cuts is then a plain projection: the data
     is neither sorted nor shuffled.
     """
-    label = F.col(strata) if strata else F.lit(0)
-    keyed = df.select(label.alias("s"), hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    keyed = _keyed(df, id_col, seed, strata)
     # (stratum, rank) -> (prefix, rank inside the prefix, rows under it)
-    open_ranks = {(s, r): ("", r, None) for s, rs in ranks.items() for r in rs if r > 0}
+    located = {(s, r): _locate(counts, s, "", r) for s, rs in ranks.items() for r in rs if r > 0}
     while True:
-        todo = {k: v for k, v in open_ranks.items() if v[2] is None or v[2] > single_task_rows}
-        if not todo:
+        depth = min((len(p) for p, _, n in located.values() if n > single_task_rows), default=0)
+        deep = {k: v for k, v in located.items() if v[2] > single_task_rows and len(v[0]) == depth}
+        if not deep:
             break
-        depth = len(next(iter(todo.values()))[0])
-        todo = {k: v for k, v in todo.items() if len(v[0]) == depth}
-        prefix = F.substring("h", 1, depth + _DIGITS)
-        rows = keyed if depth == 0 else keyed.where(F.substring("h", 1, depth).isin(list({v[0] for v in todo.values()})))
-        counts: dict[tuple, int] = {
-            (r.s, r.p): r.n for r in rows.groupBy("s", prefix.alias("p")).agg(F.count("*").alias("n")).collect()
-        }
-        for key, (head, want, _) in todo.items():
-            for p in sorted(p for s, p in counts if s == key[0] and p.startswith(head)):
-                n = counts[(key[0], p)]
-                if want <= n:
-                    open_ranks[key] = (p, want, n)
-                    break
-                want -= n
-    cuts: dict[tuple, HashCut] = {}
-    by_depth: dict[int, list] = {}
-    for key, (p, want, _) in open_ranks.items():
-        by_depth.setdefault(len(p), []).append((key, p, want))
-    for depth, items in by_depth.items():
-        prefix = F.substring("h", 1, depth)
-        wanted = {(s, p, want) for (s, _), p, want in items}
-        rank = F.row_number().over(Window.partitionBy("s", "p").orderBy("h", "id"))
-        found = (
-            keyed.withColumn("p", prefix)
-            .where(F.col("p").isin(list({p for _, p, _ in wanted})))
-            .withColumn("r", rank)
-            .where(F.col("r").isin(list({w for _, _, w in wanted})))
-            .collect()
-        )
-        at = {(f.s, f.p, f.r): HashCut(f.h, f.id) for f in found}
-        for key, p, want in items:
-            cuts[key] = at[(key[0], p, want)]
+        heads = list({p for p, _, _ in deep.values()})
+        rows = keyed.where(F.substring("h", 1, depth).isin(heads))
+        finer = rows.groupBy("s", F.substring("h", 1, depth + _DIGITS).alias("p")).agg(F.count("*").alias("n"))
+        below = {(r.s, r.p): r.n for r in finer.collect()}
+        located |= {k: _locate(below, k[0], p, want) for k, (p, want, _) in deep.items()}
+    if not located:
+        return {s: [None] * len(rs) for s, rs in ranks.items()}
+    prefixes = {p for p, _, _ in located.values()}
+    by_len = {n: [p for p in prefixes if len(p) == n] for n in {len(p) for p in prefixes}}
+    under = reduce(lambda a, b: a | b, [F.substring("h", 1, n).isin(ps) for n, ps in by_len.items()])
+    head = F.coalesce(*[F.when(F.substring("h", 1, n).isin(ps), F.substring("h", 1, n)) for n, ps in sorted(by_len.items())[::-1]])
+    rank = F.row_number().over(Window.partitionBy("s", "p").orderBy("h", "id"))
+    found = (
+        keyed.where(under).withColumn("p", head).withColumn("r", rank)
+        .where(F.col("r").isin(list({w for _, w, _ in located.values()}))).collect()
+    )
+    at = {(f.s, f.p, f.r): HashCut(f.h, f.id) for f in found}
+    cuts = {(s, r): at[(s, p, want)] for (s, r), (p, want, _) in located.items()}
     return {s: [cuts.get((s, r)) for r in rs] for s, rs in ranks.items()}
+
+
+def _locate(counts: dict[tuple, int], stratum, head: str, want: int) -> tuple[str, int, int]:
+    """Prefix under ``head`` that holds the ``want``-th row, the rank inside it, and its rows."""
+    for p in sorted(p for s, p in counts if s == stratum and p.startswith(head)):
+        n = counts[(stratum, p)]
+        if want <= n:
+            return p, want, n
+        want -= n
+    raise ValueError(f"stratum {stratum!r} has too few rows")

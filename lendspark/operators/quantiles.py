@@ -51,15 +51,23 @@ def to_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact_rows: int = EXACT_ROWS
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], exact_rows: int = EXACT_ROWS,
+    sizes: dict[str, int] | None = None,
 ) -> dict[str, list[float]]:
-    """``{column: [quantile per prob]}``; columns without values are absent.  One entry per column and prob."""
+    """``{column: [quantile per prob]}``; columns without values are absent.
+
+    ``sizes`` are the non-null counts per column, for callers that know them already; they save a pass.
+    """
     if not cols:
         return {}
+    if sizes is None:
+        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols]).first()
+        sizes = {c: row[c] for c in cols}
+    sizes = {c: sizes[c] for c in cols if sizes[c]}
     if len(cols) == 1:
         long = df.select(F.lit(cols[0]).alias("key"), F.col(f"`{cols[0]}`").cast("double").alias("x"))
-        return group_quantiles(long.where("x IS NOT NULL"), probs, exact_rows)
-    return group_quantiles(to_long(df, cols), probs, exact_rows)
+        return _quantiles(long.where("x IS NOT NULL"), sizes, probs, exact_rows)
+    return _quantiles(to_long(df, cols), sizes, probs, exact_rows)
 
 
 def group_quantiles(long: DataFrame, probs: Sequence[float], exact_rows: int = EXACT_ROWS) -> dict[str, list[float]]:
@@ -67,6 +75,12 @@ def group_quantiles(long: DataFrame, probs: Sequence[float], exact_rows: int = E
     sizes = {r.key: r.n for r in long.groupBy("key").agg(F.count("x").alias("n")).limit(MAX_GROUPS + 1).collect()}
     if len(sizes) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups: fitted edges would not fit a spec")
+    return _quantiles(long, sizes, probs, exact_rows)
+
+
+def _quantiles(
+    long: DataFrame, sizes: dict[str, int], probs: Sequence[float], exact_rows: int
+) -> dict[str, list[float]]:
     small = [k for k, n in sizes.items() if n <= exact_rows]
     out: dict[str, list[float]] = {}
     if small:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .ordering import HashCut, hash_cuts, not_after, stratum_sizes
+from .ordering import HashCut, hash_cuts, hash_prefix_counts, not_after, stratum_sizes
 
 
 @dataclass(frozen=True)
@@ -43,9 +43,10 @@ class PartitionSpec:
 
 
 def _fit_parts(df: DataFrame, id_col: str, strata: str | None, seed: int, names: list[str], sizer) -> PartitionSpec:
-    sizes = {s: sizer(n) for s, n in stratum_sizes(df, strata).items()}
+    counts = hash_prefix_counts(df, id_col, seed, strata)
+    sizes = {s: sizer(n) for s, n in stratum_sizes(counts).items()}
     ranks = {s: [sum(parts[: i + 1]) for i in range(len(names) - 1)] for s, parts in sizes.items()}
-    return PartitionSpec(id_col, seed, strata, names, hash_cuts(df, id_col, seed, ranks, strata), sizes)
+    return PartitionSpec(id_col, seed, strata, names, hash_cuts(df, id_col, seed, ranks, strata, counts), sizes)
 
 
 def fit_stratified_split(
@@ -86,10 +87,10 @@ def fit_stratified_kfold(
 
 def sample_rows(df: DataFrame, n: int, id_col: str = K.ID, seed: int = K.SEED) -> DataFrame:
     """Exactly ``n`` rows, uniformly by seeded hash; a filter on the data, not a sort of it."""
-    total = stratum_sizes(df, None).get(0, 0)
-    if n >= total:
+    counts = hash_prefix_counts(df, id_col, seed, None)
+    if n >= sum(counts.values()):
         return df
-    cut = hash_cuts(df, id_col, seed, {0: [n]}, None)[0][0]
+    cut = hash_cuts(df, id_col, seed, {0: [n]}, None, counts)[0][0]
     return df.where(not_after(id_col, seed, cut)) if cut else df.limit(0)
 
 
