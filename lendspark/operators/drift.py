@@ -43,10 +43,16 @@ def bin_counts(
     by_cols = [F.col(b) if isinstance(b, str) else b for b in by]
     wide = df.select(*by_cols, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
     names = wide.columns[: len(by_cols)]
-    long = wide.unpivot(names, [f"`{c}`" for c in features], "feature", "x").where("x IS NOT NULL")
-    table = edges_frame(df.sparkSession, edges, open_ended)
-    binned = long.join(table, "feature").withColumn("bin", bin_index(F.col("x"), F.col("edges"), closed="left"))
-    return binned.where("bin IS NOT NULL").groupBy(*names, "feature", "bin").agg(F.count("*").alias("n"))
+    return bin_counts_long(wide.unpivot(names, [f"`{c}`" for c in features], "feature", "x"), edges, names, open_ended)
+
+
+def bin_counts_long(long: DataFrame, edges: Edges, by: Sequence[str] = (), open_ended: bool = False) -> DataFrame:
+    """The same for rows already in long form (by, feature, x)."""
+    table = edges_frame(long.sparkSession, edges, open_ended)
+    binned = long.where("x IS NOT NULL").join(table, "feature").withColumn(
+        "bin", bin_index(F.col("x"), F.col("edges"), closed="left")
+    )
+    return binned.where("bin IS NOT NULL").groupBy(*by, "feature", "bin").agg(F.count("*").alias("n"))
 
 
 def psi_bins(

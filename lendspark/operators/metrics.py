@@ -148,7 +148,7 @@ def nested_report(report: DataFrame, primary: str = "roc_auc") -> DataFrame:
         .alias("confusion_matrix"),
     )
     def as_map(key: str, value: str) -> Column:
-        return F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value))))
+        return F.map_from_entries(F.collect_list(F.struct(key, value)))
 
     per_model = report.select("model", K.SPLIT, metrics.alias("m")).groupBy("model").agg(as_map(K.SPLIT, "m").alias("slices"))
     return per_model.agg(as_map("model", "slices").alias("models")).select(F.lit(primary).alias("primary_metric"), "models")

@@ -16,14 +16,12 @@ from .profiling import level_counts
 
 def pearson_target(df: DataFrame, features: Sequence[str], target: str = K.TARGET) -> DataFrame:
     """(feature, n, r, t, log10_p): pairwise-complete Pearson r against the target."""
-    y = F.col(target).cast("double")
-    one = df.agg(*[
-        F.struct(
-            F.count_if(F.col(f"`{c}`").isNotNull() & y.isNotNull()).alias("n"),
-            F.corr(F.col(f"`{c}`").cast("double"), y).alias("r"),
-        ).alias(c) for c in features
-    ])
-    long = one.unpivot([], [f"`{c}`" for c in features], "feature", "s").select("feature", "s.n", "s.r")
+    wide = df.select(F.col(target).cast("double").alias("_y"), *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    rows = wide.unpivot("_y", [f"`{c}`" for c in features], "feature", "x")
+    # long form: a handful of aggregates in one generated loop, against hundreds of buffers in wide form
+    long = rows.groupBy("feature").agg(
+        F.count_if(F.col("x").isNotNull() & F.col("_y").isNotNull()).alias("n"), F.corr("x", "_y").alias("r")
+    )
     free = F.col("n") - 2
     t = F.col("r") * F.sqrt(free / F.nullif(1 - F.col("r") * F.col("r"), F.lit(0.0)))
     long = long.withColumn("t", F.when(free > 0, t))
