@@ -261,17 +261,21 @@ def score_all(models: Sequence[FittedModel], df: DataFrame, keys: Sequence[str]
 
 def cross_validated_auc(
     df: DataFrame, feature_sets: dict[str, Sequence[str]], k: int = 5, id_col: str = K.ID, target: str = K.TARGET,
-    seed: int = K.SEED, **options,
+    seed: int = K.SEED, parallelism: int = 4, **options,
 ) -> DataFrame:
-    """(feature_set, fold, roc_auc): medians, scaling and model fitted on the other folds only."""
+    """(feature_set, fold, roc_auc): medians, scaling and model fitted on the other folds only.
+
+    Folds are submitted from a few driver threads, so that Spark overlaps their small iterations.
+    """
     folds = fit_stratified_kfold(df, k, id_col, target, seed).transform(df, "_fold")
-    rows = []
-    with held(folds) as fixed:
-        for name, features in feature_sets.items():
-            for i in range(k):
-                model = train_logreg(fixed.where(F.col("_fold") != str(i)), features, target=target, imbalance="none", **options)
-                hold_out = model.score(fixed.where(F.col("_fold") == str(i)))
-                rows.append((name, i, areas(hold_out, "score", target=target).first().roc_auc))
+    with held(folds) as fixed, ThreadPool(parallelism) as pool:
+        def one(job: tuple[str, int]) -> tuple[str, int, float]:
+            name, i = job
+            rest, hold_out = fixed.where(F.col("_fold") != str(i)), fixed.where(F.col("_fold") == str(i))
+            model = train_logreg(rest, feature_sets[name], target=target, imbalance="none", **options)
+            return name, i, areas(model.score(hold_out), "score", target=target).first().roc_auc
+
+        rows = pool.map(one, [(name, i) for name in feature_sets for i in range(k)])
     return df.sparkSession.createDataFrame(rows, "feature_set string, fold int, roc_auc double")
 
 

@@ -37,12 +37,11 @@ def model_frame(spark, sf, features=tuple(FEATURES)):
 _SMOTE = ["AMT_CREDIT", "AMT_INCOME_TOTAL", "DAYS_BIRTH"]
 
 
-@query("smote_neighbors", """SELECT id, rank::INT AS rank, neighbour, round(sqrt(d2), 6) AS distance FROM (
-  SELECT a.SK_ID_CURR AS id, b.SK_ID_CURR AS neighbour, d2, row_number() OVER (PARTITION BY a.SK_ID_CURR
-    ORDER BY sqrt(d2), b.SK_ID_CURR) AS rank FROM (SELECT a, b, """ + " + ".join(
-    f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _SMOTE) + """ AS d2 FROM pos a JOIN pos b ON a.SK_ID_CURR <> b.SK_ID_CURR))
-  WHERE rank <= 5""", {**S.SPLIT_CTES, "pos": "SELECT * FROM tagged WHERE SPLIT = 'train' AND TARGET = 1 "
-                       "AND AMT_INCOME_TOTAL IS NOT NULL"})
+@query("smote_neighbors", """SELECT id, generate_subscripts(near, 1)::INT AS rank, unnest(near).n AS neighbour,
+  round(unnest(near).d, 6) AS distance FROM (SELECT id, list_sort(arg_min(p, p, 5)) AS near FROM (
+    SELECT a.SK_ID_CURR AS id, {'d': sqrt(""" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _SMOTE) + """),
+      'n': b.SK_ID_CURR} AS p FROM pos a JOIN pos b ON a.SK_ID_CURR <> b.SK_ID_CURR) GROUP BY id)""", {
+    **S.SPLIT_CTES, "pos": "SELECT * FROM tagged WHERE SPLIT = 'train' AND TARGET = 1 AND AMT_INCOME_TOTAL IS NOT NULL"})
 def smote_neighbors(spark, sf):
     df = loans(spark, sf, ["SK_ID_CURR", "TARGET", *_SMOTE])
     train = only(fit_stratified_split(df).transform(df, K.SPLIT), "train").where("TARGET = 1").dropna(subset=_SMOTE)

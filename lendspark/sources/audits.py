@@ -41,8 +41,9 @@ def records_with_newline(df: DataFrame, *cols: str) -> DataFrame:
 def ragged_records(spark: SparkSession, path: str, columns: Sequence[str], k: int | None = None) -> DataFrame:
     """Raw records whose number of fields differs from the header: (record); the first ``k`` as a report, or all."""
     schema = ", ".join(f"`{c}` string" for c in columns) + ", _corrupt_record string"
-    rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    bad = rows.where(F.col("_corrupt_record").isNotNull()).select(F.col("_corrupt_record").alias("record"))
+    lines = spark.read.text(path).where(F.col("value") != ",".join(columns))
+    parsed = F.from_csv("value", schema, {"mode": "PERMISSIVE", "escape": '"'})
+    bad = lines.where(parsed["_corrupt_record"].isNotNull()).select(F.col("value").alias("record"))
     return bad.limit(k) if k else bad
 
 

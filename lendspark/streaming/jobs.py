@@ -80,9 +80,13 @@ def stream_scores(
 
 def windowed_rates(
     rows: DataFrame, segment: Column | str, ts: str = "ts", target: str = K.TARGET, window: str = "7 days",
-    slide: str | None = None, watermark: str = "1 day", start_offset: str = "4 days", min_n: int = 100,
+    slide: str | None = None, watermark: str = "1 day", start_offset: str | None = None, min_n: int = 100,
 ) -> DataFrame:
-    """Default rate with interval per window and segment; rows later than the watermark are dropped."""
+    """Default rate with interval per window and segment; rows later than the watermark are dropped.
+
+    Tumbling weeks start on Monday (4 days after the epoch's Thursday) unless told otherwise.
+    """
+    start_offset = start_offset or ("0 days" if slide else "4 days")
     seg = F.col(segment) if isinstance(segment, str) else segment
     w = F.window(ts, window, slide or window, startTime=start_offset)
     agg = rows.withWatermark(ts, watermark).groupBy(w.alias("w"), seg.alias("segment")).agg(
