@@ -12,6 +12,21 @@ def _edges(edges: Sequence[float] | Column) -> Column:
     return edges if isinstance(edges, Column) else F.array(*[F.lit(float(e)) for e in edges])
 
 
+_CHAIN = 33
+
+
+def _chain(x: Column, edges: list[float], closed: str, include_end: bool) -> Column:
+    """The same as comparisons in generated code, for a short list of known edges."""
+    outside = (x < edges[0]) | (x > edges[-1])
+    if not include_end:
+        outside = outside | (x == (edges[0] if closed == "right" else edges[-1]))
+    out = F.when(outside, F.lit(None).cast("int"))
+    for i, hi in enumerate(edges[1:]):
+        last = i == len(edges) - 2
+        out = out.when(x <= hi if closed == "right" or last else x < hi, i)
+    return out
+
+
 def bin_index(
     x: Column, edges: Sequence[float] | Column, closed: str = "right", include_end: bool = True
 ) -> Column:
@@ -21,6 +36,8 @@ def bin_index(
     ``[lo, hi)`` with the highest edge in the last bin.  ``edges`` is a list or, for fitted per-group bins, an array
     column.
     """
+    if not isinstance(edges, Column) and 2 <= len(edges) <= _CHAIN:
+        return _chain(x, [float(e) for e in edges], closed, include_end)
     e = _edges(edges)
     last = F.size(e) - 1
     inside = (x >= F.element_at(e, 1)) & (x <= F.element_at(e, -1))

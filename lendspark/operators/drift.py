@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +28,7 @@ def fit_reference_edges(
 
 
 def edges_frame(spark, edges: Edges, open_ended: bool = False) -> DataFrame:
-    inf = float("inf")
-    rows = [(f, [-inf, *e[1:-1], inf] if open_ended and len(e) > 1 else e) for f, e in edges.items()]
+    rows = [(f, _opened(e, open_ended)) for f, e in edges.items()]
     return F.broadcast(spark.createDataFrame(rows, "feature string, edges array<double>"))
 
 
@@ -41,9 +41,20 @@ def bin_counts(
     aggregation leaves (groups x features x bins) rows per task.
     """
     by_cols = [F.col(b) if isinstance(b, str) else b for b in by]
-    wide = df.select(*by_cols, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    binned = [
+        bin_index(F.col(f"`{c}`").cast("double"), _opened(edges[c], open_ended), closed="left").alias(c)
+        for c in features if len(edges[c]) > 1
+    ]
+    wide = df.select(*by_cols, *binned)
     names = wide.columns[: len(by_cols)]
-    return bin_counts_long(wide.unpivot(names, [f"`{c}`" for c in features], "feature", "x"), edges, names, open_ended)
+    if not binned:
+        return wide.limit(0).select(*names, F.lit("").alias("feature"), F.lit(0).alias("bin"), F.lit(0).cast("long").alias("n"))
+    long = wide.unpivot(names, [f"`{c}`" for c in wide.columns[len(names):]], "feature", "bin")
+    return long.where("bin IS NOT NULL").groupBy(*names, "feature", "bin").agg(F.count("*").alias("n"))
+
+
+def _opened(edges: list[float], open_ended: bool) -> list[float]:
+    return [-math.inf, *edges[1:-1], math.inf] if open_ended and len(edges) > 1 else edges
 
 
 def bin_counts_long(long: DataFrame, edges: Edges, by: Sequence[str] = (), open_ended: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from ..operators.splitting import (
     sample_rows,
     split_membership,
 )
+from ..session import materialize
 from . import sqlparts as S
 from .loans import loans
 from .registry import query, rounded
@@ -157,7 +158,7 @@ _PIPE = {
 @query("clean_pipeline", "SELECT SK_ID_CURR, TARGET, SPLIT, " + ", ".join(
     f"round((\"{c}\" - m{i}) / s{i}, 6) AS \"{c}\"" for i, c in enumerate(_FEATURES)) + " FROM tagged, stats", _PIPE)
 def clean_pipeline(spark, sf):
-    return rounded(C.clean(loans(spark, sf))[0])
+    return rounded(C.clean(materialize(loans(spark, sf)))[0])
 
 
 @query("cleaning_summary", """SELECT metric, value::DOUBLE AS value FROM (
@@ -171,7 +172,7 @@ def clean_pipeline(spark, sf):
   UNION ALL SELECT 'rows_' || SPLIT, count(*) FROM tagged GROUP BY SPLIT
   UNION ALL SELECT 'rows_out', count(*) FROM tagged UNION ALL SELECT 'cols_out', 25)""", _PIPE)
 def cleaning_summary(spark, sf):
-    spec = C.fit_cleaning(loans(spark, sf))
+    spec = C.fit_cleaning(materialize(loans(spark, sf)))
     return spark.createDataFrame(spec.summary_rows(), "metric string, value double")
 
 
@@ -179,6 +180,6 @@ def cleaning_summary(spark, sf):
   UNION ALL SELECT 'sentinels_left', 0 UNION ALL SELECT 'n_splits', count(DISTINCT SPLIT) FROM tagged
   UNION ALL SELECT 'max_abs_train_mean', 0)""", _PIPE)
 def clean_sanity_query(spark, sf):
-    cleaned, spec = C.clean(loans(spark, sf))
+    cleaned, spec = C.clean(materialize(loans(spark, sf)))
     return rounded(clean_sanity(cleaned, list(spec.scaler.stats)))
 

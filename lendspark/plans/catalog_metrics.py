@@ -14,6 +14,7 @@ from ..operators.cleaning import fix_sentinel
 from ..operators.engineering import REQUIRED, engineer_features
 from ..operators.splitting import fit_stratified_split
 from ..operators.stats import pearson_target
+from ..session import materialize
 from . import sqlparts as S
 from .loans import BACKGROUND, loans, table
 from .registry import query, rounded
@@ -41,7 +42,7 @@ _BY = ["model", K.SPLIT]
 
 def two_scores(spark, sf):
     df = loans(spark, sf, ["SK_ID_CURR", "TARGET", "SCORE", "EXT_SOURCE_3"])
-    tagged = fit_stratified_split(df).transform(df, K.SPLIT)
+    tagged = fit_stratified_split(loans(spark, sf, ["SK_ID_CURR", "TARGET"])).transform(df, K.SPLIT)
     rating = F.round(1 - F.col("EXT_SOURCE_3"), 6)
     wide = tagged.select(K.SPLIT, K.TARGET, F.col("SCORE").alias("policy"), rating.alias("rating"))
     return wide.unpivot([K.SPLIT, K.TARGET], ["policy", "rating"], "model", "score").where("score IS NOT NULL")
@@ -155,8 +156,9 @@ _VERDICT = "CASE WHEN {0} < 0.1 THEN 'no_drift' WHEN {0} < 0.25 THEN 'moderate_d
 
 
 def _tagged(spark, sf, cols):
-    df = loans(spark, sf, ["SK_ID_CURR", "TARGET", *cols])
-    return fit_stratified_split(df).transform(df, K.SPLIT)
+    keys = loans(spark, sf, ["SK_ID_CURR", "TARGET"])  # the split needs no joins
+    tagged = fit_stratified_split(keys).transform(loans(spark, sf, ["SK_ID_CURR", "TARGET", *cols]), K.SPLIT)
+    return materialize(tagged)
 
 
 @query("psi_bins", """SELECT feature, compared, bin::INT AS bin, round(bin_left, 6) AS bin_left, round(bin_right, 6) AS bin_right,
@@ -339,7 +341,7 @@ _FORM_CTES = {
 @query("form_to_features", "SELECT SK_ID_CURR, " + ", ".join(
     f"round((\"{c}\" - m{i}) / s{i}, 6) AS \"{c}\"" for i, c in enumerate(K.SCORER_INPUTS)) + " FROM filled, st", _FORM_CTES)
 def form_to_features(spark, sf):
-    book = loans(spark, sf, _FORM).persist()
+    book = materialize(loans(spark, sf, _FORM))
     forms = R.applicant_forms(book)
     raw = R.raw_features(forms, "SK_ID_CURR")
     return rounded(R.fit_scorer_inputs(raw).transform(raw))

@@ -31,7 +31,8 @@ def model_frame(spark, sf, features=tuple(FEATURES)):
     """Engineered, split-tagged rows.  Materialized: the fits below read them many times."""
     eng = engineer_features(fix_sentinel(loans(spark, sf, ["SK_ID_CURR", "TARGET", *REQUIRED])))
     eng = eng.select("SK_ID_CURR", "TARGET", *features)
-    return materialize(fit_stratified_split(eng).transform(eng, K.SPLIT))
+    split = fit_stratified_split(loans(spark, sf, ["SK_ID_CURR", "TARGET"]))  # the cuts need no joins
+    return materialize(split.transform(eng, K.SPLIT))
 
 
 _SMOTE = ["AMT_CREDIT", "AMT_INCOME_TOTAL", "DAYS_BIRTH"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ def local_session(app: str = "lendspark", cpus: str | int = "*", shuffle_partiti
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # the JIT skips methods above 8,000 bytes of bytecode: split wide projections instead of interpreting them
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
         .getOrCreate()
     )
@@ -40,8 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that losing an executor does not recompute a training history."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    """Write a frame to the shared folder and read it back.
+
+    For frames that several fits read: computed once, columnar, pruned per reader, and a lost executor re-reads files
+    instead of recomputing the plan behind them.
+    """
+    path = f"{shared_dir(df.sparkSession)}/lendspark-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
