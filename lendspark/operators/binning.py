@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import bin_index, bin_label, clip, sentinel_to_null, years_from_days
 from .quantiles import exact_quantiles, group_quantiles, unique_edges
+from .small import literal_frame
 
 
 def income_band(income: Column | str = "AMT_INCOME_TOTAL") -> Column:
@@ -53,7 +54,7 @@ def quantile_bin_by_group(
     long = df.select(F.col(by).cast("string").alias("key"), F.col(col).cast("double").alias("x"))
     fitted = group_quantiles(long.where("x IS NOT NULL AND key IS NOT NULL"), [i / bins for i in range(bins + 1)])
     rows = [(k, unique_edges(q, decimals)) for k, q in fitted.items()]
-    edges = df.sparkSession.createDataFrame(rows, "_key string, _edges array<double>")
+    edges = literal_frame(df.sparkSession, rows, "_key string, _edges array<double>")
     joined = df.join(F.broadcast(edges), F.col(by).cast("string") == F.col("_key"), "left")
     return joined.withColumn(out, bin_index(F.col(col), F.col("_edges"))).drop("_key", "_edges")
 
@@ -114,9 +115,8 @@ def kde(
         rows = rows.withColumn("v", F.round((F.col("v") - lo) / cell) * cell + lo)
     weights = rows.groupBy("g", "v").agg(F.count("*").alias("w"))
     step = (hi - lo) / (points - 1)
-    band = df.sparkSession.createDataFrame(
-        [(s.g, s.s * s.n ** -0.2, float(s.n)) for s in stats],
-        f"g {dict(rows.dtypes)['g']}, h double, n double",
+    band = literal_frame(
+        df.sparkSession, [(s.g, s.s * s.n ** -0.2, float(s.n)) for s in stats], f"g {dict(rows.dtypes)['g']}, h double, n double"
     )
     at = F.lit(lo) + F.col("i") * F.lit(step)
     u = (at - F.col("v")) / F.col("h")

@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import bin_index, drift_verdict
 from .guards import require_columns
-from .quantiles import exact_quantiles, to_long, unique_edges
+from .quantiles import exact_quantiles, unique_edges
+from .small import literal_frame
 
 Edges = dict[str, list[float]]
 
@@ -29,7 +30,7 @@ def fit_reference_edges(
 
 def edges_frame(spark, edges: Edges, open_ended: bool = False) -> DataFrame:
     rows = [(f, _opened(e, open_ended)) for f, e in edges.items()]
-    return F.broadcast(spark.createDataFrame(rows, "feature string, edges array<double>"))
+    return F.broadcast(literal_frame(spark, rows, "feature string, edges array<double>"))
 
 
 def bin_counts(
@@ -132,14 +133,32 @@ def compute_psi_table(
     df: DataFrame, features: Sequence[str], bins: int = K.PSI_BINS, open_ended: bool = False,
     decimals: int | None = None,
 ) -> DataFrame:
-    """(feature, psi_train_vs_val, psi_train_vs_test, max_psi, drift_verdict, n_bins_used), worst first."""
-    table, edges = psi_bin_table(df, features, bins, open_ended, decimals)
-    used = df.sparkSession.createDataFrame(
-        [(f, max(len(e) - 1, 0)) for f, e in edges.items()], "feature string, n_bins_used int"
+    """(feature, psi_train_vs_val, psi_train_vs_test, max_psi, drift_verdict, n_bins_used), worst first.
+
+    Bins empty on both sides add nothing, so the sum needs no bin grid: one count per (feature, bin) with a column per slice,
+    then one pass per feature over at most ``bins`` rows.
+    """
+    check_slices(df, features)
+    edges = fit_reference_edges(df.where(F.col(K.SPLIT) == "train"), features, bins, decimals)
+    counts = bin_counts(df, features, edges, [K.SPLIT], open_ended)
+    per_bin = counts.groupBy("feature", "bin").agg(*[
+        F.sum(F.when(F.col(K.SPLIT) == s, F.col("n")).otherwise(0)).alias(s) for s in K.SPLITS
+    ])
+    whole = Window.partitionBy("feature")
+    shares = per_bin.select("feature", *[
+        (F.col(s) / F.greatest(F.sum(s).over(whole), F.lit(1))).alias(s) for s in K.SPLITS
+    ])
+    floor = F.lit(K.PSI_FLOOR)
+    psi = shares.groupBy("feature").agg(*[
+        F.sum((F.col("train") - F.col(s)) * F.ln(F.greatest("train", floor) / F.greatest(s, floor))).alias(s)
+        for s in ("val", "test")
+    ])
+    used = literal_frame(
+        df.sparkSession, [(f, max(len(e) - 1, 0)) for f, e in edges.items()], "feature string, n_bins_used int"
     )
-    sums = table.groupBy("feature").pivot("compared", ["val", "test"]).agg(F.sum("psi_contrib"))
     val, test = F.coalesce("val", F.lit(0.0)), F.coalesce("test", F.lit(0.0))
-    return used.join(sums, "feature", "left").select(
+    # one row per feature on both sides
+    return used.join(F.broadcast(psi), "feature", "left").select(
         "feature", val.alias("psi_train_vs_val"), test.alias("psi_train_vs_test"), F.greatest(val, test).alias("max_psi"),
         drift_verdict(F.greatest(val, test)).alias("drift_verdict"), "n_bins_used",
     ).orderBy(F.desc("max_psi"), "feature")

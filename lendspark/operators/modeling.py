@@ -1,7 +1,7 @@
 """Weighted classifiers on Spark ML with our own preparation, tuning, cross-validation and comparison.
 
 Spark's models reject NaN, so every model brings its train-fitted medians (and scaling for the linear and neural ones).
-Train frames are persisted while a model iterates over them and released afterwards.
+Frames read by several jobs of one call are persisted for its duration.
 """
 
 from __future__ import annotations
@@ -109,19 +109,20 @@ def preparation(spec: ModelInputSpec, features: Sequence[str], scale: bool = Tru
 
 def _fit(
     name: str, train: DataFrame, features: Sequence[str], estimator, imbalance: str, target: str, scale: bool,
-    spec: ModelInputSpec | None = None, config: dict | None = None,
+    spec: ModelInputSpec | None = None, config: dict | None = None, balance: ClassBalance | None = None,
 ) -> FittedModel:
+    """The learners keep their own compact copy of the data (instance blocks, tree points), so the frame is not persisted."""
     spec = spec or fit_model_input(train, features)
     stages = preparation(spec, features, scale)
-    balance = class_balance(train, target)
+    if balance is None:
+        balance = class_balance(train, target) if imbalance != "none" else ClassBalance(0, 0)
     if hasattr(estimator, "setWeightCol"):
         estimator.setWeightCol(WEIGHT_COL)
     estimator.setLabelCol(target).setFeaturesCol(FEATURES_COL)
     prepared = Pipeline(stages=stages).fit(train)
     frame = prepared.transform(train).select(FEATURES_COL, F.col(target).cast("double").alias(target),
                                              balance.weight(imbalance, target).alias(WEIGHT_COL))
-    with held(frame) as fixed:
-        model = estimator.fit(fixed)
+    model = estimator.fit(frame)
     return FittedModel(name, list(features), PipelineModel([*prepared.stages, model]),
                        {"imbalance": imbalance, **(config or {})})
 
@@ -134,7 +135,8 @@ def train_logreg(
     balance = class_balance(train, target)
     total = balance.neg + balance.scale_pos_weight * balance.pos if imbalance == "pos_weight" else balance.n
     lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / (C * max(total, 1)), elasticNetParam=0.0, standardization=False)
-    return _fit("logreg", train, features, lr, imbalance, target, True, spec, {"C": C, "max_iter": max_iter})
+    config = {"C": C, "max_iter": max_iter}
+    return _fit("logreg", train, features, lr, imbalance, target, True, spec, config, balance)
 
 
 def train_gbt(

@@ -90,8 +90,7 @@ def hash_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def not_after(id_col: str, seed: int, cut: HashCut) -> Column:
-    h = hash_key(id_col, seed)
+def not_after(h: Column, id_col: str, cut: HashCut) -> Column:
     return (h < cut.digest) | ((h == cut.digest) & (F.col(id_col) <= cut.id))
 
 

@@ -12,15 +12,16 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import window as W
 
+from .small import literal_frame
+
 EXACT_ROWS = 1_000_000
 _GRID = 1000
 _ACCURACY = 20_000
-MAX_GROUPS = 100_000
+MAX_GROUPS = 2_000
 
 
 @dataclass
@@ -95,14 +96,8 @@ def _quantiles(
 
 def _rank_table(long: DataFrame, ranks: list[_Rank]) -> DataFrame:
     """Brackets as a broadcast table: at most (columns or bins) x probs rows, both already checked."""
-    schema = T.StructType([
-        T.StructField("key", T.StringType()),
-        T.StructField("prob", T.IntegerType()),
-        T.StructField("lo", T.DoubleType()),
-        T.StructField("hi", T.DoubleType()),
-    ])
     rows = [(r.key, r.prob, r.lo, r.hi) for r in ranks]
-    return F.broadcast(long.sparkSession.createDataFrame(rows, schema))
+    return F.broadcast(literal_frame(long.sparkSession, rows, "key string, prob int, lo double, hi double"))
 
 
 def _sketch(rows: DataFrame, by: list[str]) -> list:
@@ -191,9 +186,10 @@ def _select(long: DataFrame, ranks: list[_Rank], n_probs: int) -> dict[str, list
         )
         order = W.Window.partitionBy("key", "prob").orderBy("x")
         seen = F.sum("n").over(order)
-        schema = "key string, prob int, offset long"
-        offsets = long.sparkSession.createDataFrame(
-            [(r.key, r.prob, r.k - r.below + s) for r in want.values() for s in (0, 1)], schema)
+        offsets = literal_frame(
+            long.sparkSession, [(r.key, r.prob, r.k - r.below + s) for r in want.values() for s in (0, 1)],
+            "key string, prob int, offset bigint",
+        )
         hits = (
             within.withColumn("upto", seen)
             .join(F.broadcast(offsets), ["key", "prob"])
@@ -216,6 +212,3 @@ def unique_edges(values: Sequence[float], decimals: int | None = None) -> list[f
     vals = [round(v, decimals) for v in values] if decimals is not None else values
     return sorted(set(vals))
 
-
-def edges_array(edges: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(e)) for e in edges])

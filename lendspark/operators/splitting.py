@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .ordering import HashCut, hash_cuts, hash_prefix_counts, not_after, stratum_sizes
+from .ordering import HashCut, hash_cuts, hash_key, hash_prefix_counts, not_after, stratum_sizes
 
 
 @dataclass(frozen=True)
@@ -23,14 +23,15 @@ class PartitionSpec:
     cuts: dict[object, list[HashCut | None]]
     sizes: dict[object, list[int]]
 
-    def part(self) -> Column:
-        """Part name of a row: one projection, no shuffle."""
+    def part(self, digest: Column | None = None) -> Column:
+        """Part name of a row: one projection, no shuffle.  ``digest`` is its hash where that is at hand."""
+        h = hash_key(self.id_col, self.seed) if digest is None else digest
         branches = []
         for value, cuts in self.cuts.items():
             expr = F.lit(self.parts[-1])
             for name, cut in list(zip(self.parts[:-1], cuts, strict=False))[::-1]:
                 if cut is not None:
-                    expr = F.when(not_after(self.id_col, self.seed, cut), name).otherwise(expr)
+                    expr = F.when(not_after(h, self.id_col, cut), name).otherwise(expr)
             here = F.lit(True) if self.strata is None else F.col(self.strata).eqNullSafe(F.lit(value))
             branches.append((here, expr))
         out = F.when(*branches[0])
@@ -39,7 +40,8 @@ class PartitionSpec:
         return out
 
     def transform(self, df: DataFrame, out: str) -> DataFrame:
-        return df.withColumn(out, self.part())
+        hashed = df.withColumn("_digest", hash_key(self.id_col, self.seed))  # hashed once per row, compared several times
+        return hashed.withColumn(out, self.part(F.col("_digest"))).drop("_digest")
 
 
 def _fit_parts(df: DataFrame, id_col: str, strata: str | None, seed: int, names: list[str], sizer) -> PartitionSpec:
@@ -91,12 +93,12 @@ def sample_rows(df: DataFrame, n: int, id_col: str = K.ID, seed: int = K.SEED) -
     if n >= sum(counts.values()):
         return df
     cut = hash_cuts(df, id_col, seed, {0: [n]}, None, counts)[0][0]
-    return df.where(not_after(id_col, seed, cut)) if cut else df.limit(0)
+    return df.where(not_after(hash_key(id_col, seed), id_col, cut)) if cut else df.limit(0)
 
 
 def split_membership(df: DataFrame, spec: PartitionSpec, id_col: str = K.ID, target: str = K.TARGET) -> DataFrame:
     """The membership table (id, split, target) that replaces positional masks."""
-    return df.select(id_col, spec.part().alias(K.SPLIT), target)
+    return spec.transform(df.select(id_col, target), K.SPLIT).select(id_col, K.SPLIT, target)
 
 
 def only(df: DataFrame, *splits: str) -> DataFrame:

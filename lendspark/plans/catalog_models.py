@@ -177,9 +177,9 @@ def scorer(spark, sf):
     """Scorer inputs, their spec, and a logistic model over all 30."""
     book = materialize(loans(spark, sf, ["TARGET", *_FORM]))
     forms = R.applicant_forms(book)
-    raw = R.raw_features(forms, K.ID, K.TARGET)
+    raw = materialize(R.raw_features(forms, K.ID, K.TARGET))
     spec = R.fit_scorer_inputs(raw)
-    return forms, raw, spec, M_.train_logreg(spec.impute(raw), K.SCORER_INPUTS, max_iter=50)
+    return forms, raw, spec, M_.train_logreg(raw, K.SCORER_INPUTS, max_iter=50, spec=spec)
 
 
 @query("batch_score")
