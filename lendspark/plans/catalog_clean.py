@@ -25,7 +25,7 @@ from .registry import query, rounded
        {"fixed": S.FIXED})
 def impute_median(spark, sf):
     cols = ["EXT_SOURCE_1", "SPARSE_B", "DAYS_EMPLOYED"]
-    df = C.fix_sentinel(loans(spark, sf, ["SK_ID_CURR", *cols]))
+    df = materialize(C.fix_sentinel(loans(spark, sf, ["SK_ID_CURR", *cols])))
     return rounded(C.impute(df, C.fit_medians(df, cols)), 8)
 
 
@@ -117,7 +117,7 @@ _INPUT = ["EXT_SOURCE_1", "EXT_SOURCE_3", "SPARSE_B"]
     "filled": "SELECT SK_ID_CURR, SPLIT, " + ", ".join(f"coalesce({c}, d_{c}) AS {c}" for c in _INPUT)
               + " FROM tagged, med"})
 def train_median_impute(spark, sf):
-    df = loans(spark, sf, ["SK_ID_CURR", "TARGET", *_INPUT])
+    df = materialize(loans(spark, sf, ["SK_ID_CURR", "TARGET", *_INPUT]))
     tagged = fit_stratified_split(df).transform(df, K.SPLIT)
     out = fit_model_input(only(tagged, "train"), _INPUT).transform(tagged)
     return rounded(out.select("SK_ID_CURR", K.SPLIT, *_INPUT))

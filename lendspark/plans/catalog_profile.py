@@ -12,6 +12,7 @@ from ..operators.cleaning import fit_sparse_columns, fix_sentinel
 from ..operators.engineering import REQUIRED, credit_to_income, engineer_features, standardized
 from ..operators.segments import region_filter
 from ..operators.splitting import fit_stratified_split, only
+from ..session import materialize
 from ..sources import audits as A
 from . import sqlparts as S
 from .loans import APPLICATION, COLUMNS, NUMERIC, loans, table
@@ -104,7 +105,7 @@ def split_rates(spark, sf):
        {"long": S.unpivot("loans", ["AMT_CREDIT", "AMT_INCOME_TOTAL", "AMT_GOODS_PRICE", "DAYS_BIRTH", "CNT_FAM_MEMBERS"])})
 def describe_features(spark, sf):
     cols = ["AMT_CREDIT", "AMT_INCOME_TOTAL", "AMT_GOODS_PRICE", "DAYS_BIRTH", "CNT_FAM_MEMBERS"]
-    return rounded(P.describe(loans(spark, sf, cols), cols), 4)
+    return rounded(P.describe(materialize(loans(spark, sf, cols)), cols), 4)
 
 
 @query("engineered_nulls", """SELECT "column", n_null, round(n_null / n, 8) AS null_share FROM (""" + " UNION ALL ".join(
@@ -119,7 +120,7 @@ def engineered_nulls(spark, sf):
   FROM long GROUP BY feature""", {"long": S.unpivot("loans", ["AMT_CREDIT", "AMT_ANNUITY", "DAYS_EMPLOYED"])})
 def column_medians(spark, sf):
     cols = ["AMT_CREDIT", "AMT_ANNUITY", "DAYS_EMPLOYED"]
-    return rounded(P.column_summary(loans(spark, sf, cols), cols), 5)
+    return rounded(P.column_summary(materialize(loans(spark, sf, cols)), cols), 5)
 
 
 _CARD = " UNION ALL ".join(
