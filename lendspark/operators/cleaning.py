@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import sentinel_to_null
+from ..session import materialize
 from .guards import normalize_missing, numeric_columns, require_columns, string_columns
 from .profiling import level_counts
 from .quantiles import exact_quantiles
@@ -85,24 +86,36 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]], drop_first: bool = True
     return (df.withColumns(added) if added else df).drop(*levels)
 
 
-def frequency_encode(df: DataFrame, cols: Sequence[str], population: DataFrame | None = None) -> DataFrame:
-    """Replace a category by its number of occurrences in ``population``.
+def fit_frequencies(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
+    """Count table (_level, _freq) per column, written once, so that the planner knows its size.
 
-    The count table has one row per level and may be large, so it carries no broadcast hint: adaptive execution
-    broadcasts it when its measured size allows and otherwise splits the skewed side of a sort-merge join.
+    A small table is then broadcast without shuffling the data at all; one above the broadcast threshold is sort-merge joined,
+    where adaptive execution splits a hot level.
     """
-    population = df if population is None else population
+    return {
+        c: materialize(df.groupBy(F.col(f"`{c}`").alias("_level")).agg(F.count("*").cast("double").alias("_freq")))
+        for c in cols
+    }
+
+
+def frequency_encode(
+    df: DataFrame, cols: Sequence[str], population: DataFrame | None = None, tables: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Replace a category by its number of occurrences in ``population`` (default: ``df``); an unseen level counts 0."""
+    tables = tables or fit_frequencies(df if population is None else population, cols)
     for c in cols:
-        freq = population.groupBy(F.col(f"`{c}`").alias("_level")).agg(F.count("*").cast("double").alias("_freq"))
         order = df.columns
-        df = df.join(freq, F.col(f"`{c}`").eqNullSafe(F.col("_level")), "left").drop("_level", c)
-        df = df.withColumnRenamed("_freq", c).select([f"`{x}`" for x in order])
+        df = df.join(tables[c], F.col(f"`{c}`").eqNullSafe(F.col("_level")), "left").drop("_level", c)
+        df = df.withColumn(c, F.coalesce("_freq", F.lit(0.0))).select([f"`{x}`" for x in order])
     return df
 
 
 @dataclass
 class CleaningSpec:
-    """Everything fitted by :func:`fit_cleaning`; its size depends on the columns, not on the rows."""
+    """Everything fitted by :func:`fit_cleaning`; its size depends on the columns, not on the rows.
+
+    Only ``frequencies`` can grow (one row per level of a high-cardinality column), so those are stored tables.
+    """
 
     n_rows: int
     n_cols: int
@@ -114,6 +127,7 @@ class CleaningSpec:
     encoding: EncodingSpec
     split: PartitionSpec
     scaler: ScalerSpec = field(default_factory=lambda: ScalerSpec({}))
+    frequencies: dict[str, DataFrame] = field(default_factory=dict)
     id_col: str = K.ID
     target: str = K.TARGET
 
@@ -122,13 +136,12 @@ class CleaningSpec:
         df = fix_sentinel(normalize_missing(df)).drop(*self.dropped)
         return impute(df, self.medians, self.labels)
 
-    def encode(self, df: DataFrame, population: DataFrame | None = None) -> DataFrame:
-        return frequency_encode(one_hot(df, self.encoding.one_hot), self.encoding.frequency, population)
+    def encode(self, df: DataFrame) -> DataFrame:
+        return frequency_encode(one_hot(df, self.encoding.one_hot), self.encoding.frequency, tables=self.frequencies)
 
-    def transform(self, df: DataFrame, population: DataFrame | None = None) -> DataFrame:
-        """Clean ``df``.  New rows are encoded with the frequencies of ``population`` (default: ``df`` itself)."""
-        pop = None if population is None else self.prepare(population)
-        tagged = self.split.transform(self.encode(self.prepare(df), pop), K.SPLIT)
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Clean ``df``, the fitted table or new rows, with the fitted values."""
+        tagged = self.split.transform(self.encode(self.prepare(df)), K.SPLIT)
         return self.scaler.transform(tagged)
 
     def summary_rows(self) -> list[tuple[str, float]]:
@@ -189,6 +202,7 @@ def fit_cleaning(
     )
     prepared = spec.prepare(df)
     spec.encoding = fit_encoding(prepared, string_columns(prepared, (K.SPLIT,)), max_levels)
+    spec.frequencies = fit_frequencies(prepared, spec.encoding.frequency)
     encoded = split.transform(spec.encode(prepared), K.SPLIT)
     spec.scaler = fit_scaler(encoded.where(F.col(K.SPLIT) == "train"), numeric_columns(encoded, (id_col, target)))
     return spec

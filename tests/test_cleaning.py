@@ -65,12 +65,20 @@ def test_fit_on_train_differs_from_all(toy):
 
 
 def test_new_rows_use_fitted_values(toy):
-    _, spec = C.clean(toy)
+    _, spec = C.clean(toy, max_levels=2)
+    assert spec.encoding.frequency == ["GENDER"]
     few = toy.where("SK_ID_CURR <= 10")
-    part, whole = spec.transform(few, toy), spec.transform(toy).where("SK_ID_CURR <= 10")
+    part, whole = spec.transform(few), spec.transform(toy).where("SK_ID_CURR <= 10")
     assert sorted(part.collect()) == sorted(whole.select(part.columns).collect())
 
 
+def test_frequency_tables(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "c string")
+    assert sorted(r.c for r in C.frequency_encode(df, ["c"]).collect()) == [1.0, 1.0, 2.0, 2.0]
+    new = spark.createDataFrame([("a",), ("z",)], "c string")
+    assert sorted(r.c for r in C.frequency_encode(new, ["c"], df).collect()) == [0.0, 2.0]
+
+
 def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "x double")
     assert [r.x for r in fit_scaler(df, ["x"]).transform(df).collect()] == [0.0, 0.0]
