@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import materialize
 from .ordering import running_sums
 
 
@@ -43,11 +44,16 @@ def with_ratios(counts: DataFrame) -> DataFrame:
 
 
 def score_steps(df: DataFrame, score: str, by: Sequence[str] = (), target: str = K.TARGET, **opts) -> DataFrame:
-    """Per distinct score, highest first: cumulative ``tp``/``fp`` and the group totals ``pos``/``neg``."""
+    """Per distinct score, highest first: cumulative ``tp``/``fp`` and the group totals ``pos``/``neg``.
+
+    The counts per score are read three times (splitters, totals, running sums), so they are stored: the rows themselves are
+    scanned once.
+    """
     by = list(by)
     per = df.where(F.col(score).isNotNull() & F.col(target).isNotNull()).groupBy(*by, score).agg(
         F.count_if(F.col(target) == 1).alias("p"), F.count_if(F.col(target) != 1).alias("q")
     )
+    per = materialize(per)
     steps = running_sums(per, score, {"tp": "p", "fp": "q"}, by, **opts)
     totals = per.groupBy(*by).agg(F.sum("p").alias("pos"), F.sum("q").alias("neg"))
     if by:
