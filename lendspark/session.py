@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,22 @@ def local_session(app: str = "lendspark", cpus: str | int = "*", shuffle_partiti
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so that their Python finds it from any working directory."""
+    context = spark.sparkContext
+    if any(os.path.basename(f) == "lendspark.zip" for f in context.listFiles):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="lendspark-zip-"), "lendspark.zip")  # only the driver reads it: it serves the file
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(target)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
