@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, empty_text
+from .common import Remembered, map_texts
 
 #: characters of text that are encoded together
 PART_CHARS = 1_000_000
@@ -113,8 +113,8 @@ class Codec:
                  for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks}
         self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
-        self.pieces = Remembered(lambda piece: _packed(merge(piece.encode(), self.ranks)))
-        self.words = Remembered(self._match)
+        self.pieces = Remembered(lambda piece: _packed(merge(piece.encode(), self.ranks)), 120_000)
+        self.words = Remembered(self._match, 200_000)
 
     def _match(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
@@ -226,20 +226,27 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
-def encoded(path: str, pattern: str, text: Column) -> Column:
-    """Binary column: the ids of ``text`` as little-endian unsigned 32-bit integers."""
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """Every row of ``df`` with its packed ids (little-endian unsigned 32-bit) in ``out``, and decoded again in ``decoded`` if named.
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    A null text counts as empty and gets no ids.  Repeated rows get the same ids; other columns pass through, those with the new
+    names are replaced.  There are no special tokens: their strings in a text are ordinary text.  One pass, no shuffle.
+    """
+
+    def make():
         own = codec(path, pattern)
-        for texts in batches:
-            yield pd.Series(own.encode_all(texts.tolist()), index=texts.index)
 
-    return run(text)
+        def run(texts: list[str | None]) -> list[list]:
+            ids = own.encode_all([t or "" for t in texts])
+            return [ids, [own.decode(i) for i in ids]] if decoded else [ids]
 
+        return run
 
-def decoded(path: str, pattern: str, ids: Column) -> Column:
-    """Binary column: the bytes that packed ``ids`` stand for."""
+    return map_texts(df, text, f"`{out}` binary" + (f", `{decoded}` binary" if decoded else ""), make)
+
+
+def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Every row of ``df`` with the bytes of its packed ids in ``out``; null ids count as none, unknown ids raise."""
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -247,18 +254,4 @@ def decoded(path: str, pattern: str, ids: Column) -> Column:
         for packed in batches:
             yield packed.map(own.decode)
 
-    return run(ids)
-
-
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """Every row of ``df`` with its packed ids in ``out`` (a column of that name is replaced).
-
-    A null text counts as empty and gets no ids.  Repeated rows get the same ids; other columns pass through untouched, without
-    visiting Python.  There are no special tokens: their strings in a text are ordinary text.  One projection, no shuffle.
-    """
-    return df.withColumn(out, encoded(path, pattern, empty_text(text)))
-
-
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Every row of ``df`` with the bytes of its packed ids in ``out``; null ids count as none, unknown ids raise."""
-    return df.withColumn(out, decoded(path, pattern, F.coalesce(F.col(ids), F.lit(b""))))
+    return df.withColumn(out, run(F.coalesce(F.col(ids), F.lit(b""))))

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import shared_dir
 
@@ -37,6 +42,37 @@ def empty_text(text: str = "text"):
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def map_texts(df: DataFrame, text: str, fields: str, make: Callable[[], Callable[[list], list[list]]], part_bytes: int = 2_000_000) -> DataFrame:
+    """Every row of ``df`` with new columns (``fields``, as DDL) computed from its text, in Arrow batches, without a shuffle.
+
+    ``make`` runs once a task and gives the function from a list of texts (None for null) to the lists of new values.  It gets a few
+    megabytes of text at a time, so memory doesn't follow the batch size.  Columns of ``df`` with the new names are replaced.
+    """
+    new = T._parse_datatype_string(fields).fields
+    names = {f.name for f in new}
+    if text in names:
+        raise ValueError(f"column {text!r} is the input")
+    df = df.drop(*names).withColumn(text, F.col(f"`{text}`").cast("string"))
+    kinds = [to_arrow_type(f.dataType) for f in new]
+    labels = [*df.columns, *(f.name for f in new)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = make()
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+            start = 0
+            while start < batch.num_rows:
+                base = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, base + part_bytes, side="right")))
+                part = batch.slice(start, stop - start)
+                values = own(part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(v, type=k) for v, k in zip(values, kinds))], names=labels)
+                start = stop
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *new]))
+
+
 def bounded_sample(df: DataFrame, group: str, key: str, bound: int, buckets: int = 4096) -> DataFrame:
     """About ``bound`` rows of each group at most, the same in every run: those whose hashed ``key`` is lowest.
 

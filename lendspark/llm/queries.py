@@ -61,7 +61,7 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
     from .tokencount import count_tokens
 
-    counted = count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    counted = count_tokens(table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
                           (F.col("n_tokens") > 4096).alias("over_limit"))
 
@@ -70,9 +70,51 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
-    from .bpe import decode, encode
+    from .bpe import encode
 
     rule = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    done = decode(encode(table(spark, sf, "documents").select("doc_id", "text"), *rule), *rule)
+    done = encode(table(spark, sf, "documents").select("doc_id", "text"), *rule, decoded="decoded")
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    from .urlfilter import judge
+
+    good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")
+    labels = table(spark, sf, "labels").select("doc_id", good.alias("good"))
+    return judge(table(spark, sf, "pages"), labels, URL_RULES).withColumn("purity", F.round("purity", 9))
+
+
+def _op6_sql() -> str:
+    from .urlfilter import judge_sql
+
+    return judge_sql(URL_RULES)
+
+
+ORACLES["op6_url_filter"] = _op6_sql()
+
+
+@query
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    from .langid import identify, train
+
+    docs = table(spark, sf, "documents")
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    model = train(docs.where(remainder != 2))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), F.col("language").alias("lang_pred"), "score", "bits_per_byte")
+
+
+@query
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    from .quality import score, train
+
+    docs = table(spark, sf, "documents")
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    model = train(docs, table(spark, sf, "labels").where(remainder != 1).select("doc_id", F.col("quality").alias("label")))
+    return score(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score",
+                                     (F.col("score") >= 0.5).cast("int").alias("predicted"))

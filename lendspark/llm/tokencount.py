@@ -11,13 +11,11 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from .common import Remembered, empty_text
+from .common import Remembered, map_texts
 
 #: piece pairs whose validity a worker remembers
 PAIRS = 1_000_000
@@ -116,52 +114,36 @@ def counter(path: str) -> Counter:
     return _COUNTERS[path]
 
 
-def token_count(path: str, text: Column) -> Column:
-    """Long column: tokens of the whole text."""
-
-    @F.pandas_udf("long")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _mapped(df: DataFrame, path: str, text: str, field: str, of: Callable[[Counter, str], object]) -> DataFrame:
+    def make():
         own = counter(path)
-        for texts in batches:
-            yield texts.map(own.total).astype("int64")
+        return lambda texts: [[of(own, t or "") for t in texts]]
 
-    return run(text)
+    return map_texts(df, text, field, make)
 
 
 def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """Every row of ``df`` with the token count of its whole text in ``out``.
 
     Null counts as empty (0 tokens).  Begin, end and other special tokens are not added; their strings in a text are ordinary text.
-    One projection, no shuffle; other columns do not visit Python.
+    One pass, no shuffle; other columns pass through, one named ``out`` is replaced.
     """
-    return df.withColumn(out, token_count(path, empty_text(text)))
+    return _mapped(df, path, text, f"`{out}` long", lambda own, t: own.total(t))
 
 
 def prefix_counts(df: DataFrame, path: str, text: str = "text", out: str = "prefix_tokens") -> DataFrame:
     """Every row with the token counts of all prefixes of its text, by characters: element i is for text[:i], so n + 1 elements."""
-
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = counter(path)
-        for texts in batches:
-            yield texts.map(lambda t: list(own.prefixes(t)))
-
-    return df.withColumn(out, run(empty_text(text)))
+    return _mapped(df, path, text, f"`{out}` array<int>", lambda own, t: own.prefixes(t).tolist())
 
 
 def fit_budget(df: DataFrame, path: str, budget: int, text: str = "text", out: str = "fitting") -> DataFrame:
-    """Every row with the longest prefix of its text that takes at most ``budget`` tokens, read off the prefix counts."""
+    """Every row with the longest prefix of its text that takes at most ``budget`` tokens, read off the prefix counts.
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = counter(path)
-
-        def cut(t: str) -> str:
-            counts = own.prefixes(t)
-            # counts are not monotone, so the last fitting prefix is looked for from the end
-            return t[:next(i for i in range(len(counts) - 1, -1, -1) if counts[i] <= budget)]
+    Counts are not monotone in the length, so the last fitting prefix is looked for from the end.
+    """
 
-        for texts in batches:
-            yield texts.map(cut)
+    def cut(own: Counter, t: str) -> str:
+        counts = own.prefixes(t)
+        return t[:next(i for i in range(len(counts) - 1, -1, -1) if counts[i] <= budget)]
 
-    return df.withColumn(out, run(empty_text(text)))
+    return _mapped(df, path, text, f"`{out}` string", cut)
