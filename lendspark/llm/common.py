@@ -42,10 +42,11 @@ def empty_text(text: str = "text"):
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
-def map_texts(df: DataFrame, text: str, fields: str, make: Callable[[], Callable[[list], list[list]]], part_bytes: int = 2_000_000) -> DataFrame:
+def map_texts(df: DataFrame, text: str, fields: str, make: Callable[[], Callable[..., list[list]]], part_bytes: int = 2_000_000,
+              also: tuple[str, ...] = ()) -> DataFrame:
     """Every row of ``df`` with new columns (``fields``, as DDL) computed from its text, in Arrow batches, without a shuffle.
 
-    ``make`` runs once a task and gives the function from a list of texts (None for null) to the lists of new values.  It gets a few
+    ``make`` runs once a task and gives the function from a list of texts (None for null), and of the columns ``also``, to the lists of new values.  It gets a few
     megabytes of text at a time, so memory doesn't follow the batch size.  Columns of ``df`` with the new names are replaced.
     """
     new = T._parse_datatype_string(fields).fields
@@ -66,7 +67,7 @@ def map_texts(df: DataFrame, text: str, fields: str, make: Callable[[], Callable
                 base = ends[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, base + part_bytes, side="right")))
                 part = batch.slice(start, stop - start)
-                values = own(part.column(at).to_pylist())
+                values = own(part.column(at).to_pylist(), *(part.column(labels.index(c)).to_pylist() for c in also))
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(v, type=k) for v, k in zip(values, kinds))], names=labels)
                 start = stop
 

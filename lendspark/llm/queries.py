@@ -118,3 +118,18 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     model = train(docs, table(spark, sf, "labels").where(remainder != 1).select("doc_id", F.col("quality").alias("label")))
     return score(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents")).select("doc_id", "group_id", "kept", "n_shingles")
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from .linededup import dedup_lines
+
+    done = dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_cut", F.octet_length("text").cast("long").alias("n_bytes_left"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
