@@ -133,3 +133,47 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
     done = dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_cut", F.octet_length("text").cast("long").alias("n_bytes_left"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query
+def op1_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from .embeddup import near_vectors
+
+    return near_vectors(table(spark, sf, "embeddings"))
+
+
+ORACLES["op1_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id),
+c AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+@query
+def op8_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    from .ann import search
+
+    rows = table(spark, sf, "embeddings")
+    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return search(rows, asked, k=20)
+
+
+ORACLES["op9_near_duplicates"] = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, greatest(len(w) - 4, 1) AS size, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+      FROM w WHERE len(w) > 0),
+c AS (SELECT doc_id, size, g, count(*) AS n FROM s GROUP BY ALL),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.size AS na, b.size AS nb, sum(least(a.n, b.n)) AS common
+      FROM c a JOIN c b ON a.g = b.g AND a.doc_id <> b.doc_id AND least(a.size, b.size) >= 0.8 * greatest(a.size, b.size) GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE common >= 0.8 * (na + nb - common)),
+r AS (SELECT doc_id, doc_id AS g FROM documents UNION SELECT l.b, r.g FROM r JOIN l ON l.a = r.doc_id),
+d AS (SELECT doc_id, min(g) AS group_id FROM r GROUP BY doc_id)
+SELECT doc_id, group_id, doc_id = group_id AS kept, coalesce(size, 0)::BIGINT AS n_shingles
+FROM d LEFT JOIN (SELECT DISTINCT doc_id, size FROM s) USING (doc_id)
+"""
