@@ -136,6 +136,19 @@ def components(spark: SparkSession, edges: DataFrame, limit: int = 60) -> DataFr
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Smallest node reachable from each of n nodes over the links (i, j)."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
 class Remembered(dict):
     """What ``make`` gave for recent keys.  Two generations of ``limit`` entries bound the memory and keep what is in use."""
 

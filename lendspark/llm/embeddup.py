@@ -17,25 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cells import fit, unit, usable
-from .common import components, save
+from .common import components, forest, save
 
 BLOCK = 1024  # classes on either side of a product
 PER_CELL = 2000  # classes a cell is meant for
 
 
-def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """Smallest node reachable from each of n nodes over the links (i, j)."""
-    low = np.arange(n)
-    while True:
-        new = low.copy()
-        np.minimum.at(new, i, low[j])
-        np.minimum.at(new, j, low[i])
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def near_vectors(df: DataFrame, similarity: float = 0.98, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """Per vector: key, n_links (other vectors linked directly), component_id (smallest key reachable), kept (key = component_id).
 
@@ -97,7 +84,7 @@ def near_vectors(df: DataFrame, similarity: float = 0.98, key: str = "vec_id", v
         links = near @ right["n"].to_numpy()
         i, j = np.nonzero(near)
         nodes = np.unique(np.concatenate([a[i], b[j]]))
-        lead = _forest(np.searchsorted(nodes, a[i]), np.searchsorted(nodes, b[j]), len(nodes))
+        lead = forest(np.searchsorted(nodes, a[i]), np.searchsorted(nodes, b[j]), len(nodes))
         # counts of the home side, and the forest of both
         return pd.concat([pd.DataFrame({"id": a, "links": links, "lead": a}), pd.DataFrame({"id": nodes, "links": 0, "lead": nodes[lead]})])
 

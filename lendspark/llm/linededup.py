@@ -26,7 +26,8 @@ _WINDOWS = "array<struct<a: int, b: int, mark: long, body: long>>"
 
 def windows(text: str) -> list[dict]:
     """Windows (first and last line, fingerprint, content hash) of a text.  Lines end at a line feed and are compared without
-    surrounding white space; lines without words are skipped over, neither parting a run nor counting."""
+    surrounding white space; lines without words are skipped over: they neither part a run nor count, and go with the
+    line before them."""
     numbers, hashes, upto = [], [], [0]
     for k, line in enumerate(text.split("\n")):
         n = len(_WORD.findall(line))
@@ -35,6 +36,7 @@ def windows(text: str) -> list[dict]:
             hashes.append(xxhash.xxh64_intdigest(line.strip().encode()))
             upto.append(upto[-1] + n)
     count = len(numbers)
+    numbers.append(k + 1)  # a line's share ends before the next line with words
     found = set()
     for i in range(count):
         j = bisect_left(upto, upto[i] + MIN_WORDS)  # lines i .. j - 1 have enough words
@@ -47,7 +49,7 @@ def windows(text: str) -> list[dict]:
     for i, j in sorted(found):
         own = hashes[i:j]
         body = own[0] if j == i + 1 else xxhash.xxh64_intdigest(b"".join(h.to_bytes(8, "little") for h in own), 1)
-        out.append({"a": numbers[i], "b": numbers[j - 1], "mark": _signed(min(own)), "body": _signed(body)})
+        out.append({"a": numbers[i], "b": numbers[j] - 1, "mark": _signed(min(own)), "body": _signed(body)})
     return out
 
 
@@ -82,7 +84,7 @@ def repeated_runs(df: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
 
 def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Every row of ``df`` with its text cleaned, and ``n_cut``, the number of deleted lines with words.
+    """Every row of ``df`` with its text cleaned, and ``n_cut``, the number of deleted lines.
 
     Null texts stay null, and texts without a repeated run stay as they are, byte for byte.  A text that is left without words held only
     what was seen before: it becomes empty.  Cases as for ``repeated_runs``.  Other columns pass through, those named n_cut, _key, _th, _hash

@@ -7,8 +7,9 @@ weighted Jaccard similarity.  Processes stop at the latest time that any compone
 
 Texts that agree in all ROWS components of one of BANDS bands are candidates: a pair of similarity 0.8 is missed with probability
 (1 - 0.8^7)^45 < 3e-5, and more similar ones far less often.  Candidates are verified by their exact multiset overlap.  Texts of the same words
-are one class.  Within a bucket, each class is first verified against the bucket's first one; only classes that are then still in
-different components are compared further, so large groups of copies cost one comparison a member.
+are one class.  Within a bucket, each class is first verified against the bucket's first one, so large groups of copies cost one
+comparison a member.  Where that leaves classes of one cluster of buckets in different components, blocks of bounded size are
+compared as a whole, and give a spanning forest of their links instead of pairs.
 """
 
 from __future__ import annotations
@@ -16,16 +17,18 @@ from __future__ import annotations
 from collections import OrderedDict
 
 import numpy as np
+import pandas as pd
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, components, map_texts, mix64, save
+from .common import Remembered, components, forest, map_texts, mix64, save
 
 WORDS = 5
 ROWS, BANDS = 7, 45
 SIGNATURE = ROWS * BANDS
+BLOCK = 256  # classes on either side of a block comparison, about
 _TOKEN = regex.compile(r"\w+")
 _GOLDEN, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -136,16 +139,79 @@ def _verifier(similarity: float):
     return make
 
 
-def _verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of classes whose exact similarity suffices.  A pair of too different sizes can't and is not read."""
-    pairs = pairs.join(sizes.select(F.col("digest").alias("a"), F.col("size").alias("na")), "a").join(
-        sizes.select(F.col("digest").alias("b"), F.col("size").alias("nb")), "b")
+    pairs = pairs.join(classes.select(F.col("id").alias("a"), F.col("size").alias("na")), "a").join(
+        classes.select(F.col("id").alias("b"), F.col("size").alias("nb")), "b")
     pairs = pairs.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b")
-    both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
+        texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     return map_texts(both, "text_a", "alike boolean", _verifier(similarity), also=("text_b",)).where("alike").select("a", "b")
 
 
+def overlaps(one: list[tuple[np.ndarray, np.ndarray]], other: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Multiset overlap of every bag of one list with every bag of the other, over the shingles that they share."""
+    def flat(bags):
+        owner = np.repeat(np.arange(len(bags)), [len(e) for e, _ in bags])
+        e, n = np.concatenate([e for e, _ in bags]), np.concatenate([n for _, n in bags])
+        order = np.argsort(e, kind="stable")
+        return e[order], n[order], owner[order]
+
+    (e, n, i), (f, m, j) = flat(one), flat(other)
+    low, high = np.searchsorted(f, e, "left"), np.searchsorted(f, e, "right")
+    out = np.zeros(len(one) * len(other))
+    many = high - low
+    hit = np.flatnonzero(many)
+    ends = np.cumsum(many[hit])
+    start = 0
+    while start < len(hit):  # a few million meetings at a time
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + 4_000_000, "right")))
+        part = hit[start:stop]
+        k = many[part]
+        left = np.repeat(part, k)
+        right = np.repeat(low[part], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        out += np.bincount(i[left] * len(other) + j[right], weights=np.minimum(n[left], m[right]), minlength=len(out))
+        start = stop
+    return out.reshape(len(one), len(other))
+
+
+def _block_links(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b), as spanning forests, between classes of one cluster that are in different components.
+
+    ``placed``: cluster, c (component), id.  Large components fill blocks of their own, which are not compared with each other;
+    the rest of a cluster shares blocks.  A pair of blocks is one group.
+    """
+    sizes = placed.groupBy("cluster", "c").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") >= BLOCK // 2).select("cluster", "c", F.col("c").alias("own"), F.ceil(F.col("n") / BLOCK).alias("k"))
+    small = sizes.where(F.col("n") < BLOCK // 2).groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).alias("ks"))
+    blocks = placed.join(large, ["cluster", "c"], "left").join(small, "cluster", "left")
+    blocks = save(blocks.select("cluster", "c", "id", F.coalesce("own", F.lit(-1)).alias("own"),
+                                F.pmod(F.xxhash64("id"), F.coalesce("k", "ks")).alias("block")))
+    names = blocks.select("cluster", "own", "block").distinct()
+    one = names.select("cluster", F.struct("own", "block").alias("x"))
+    pairs = one.join(one.withColumnRenamed("x", "y"), "cluster").where("x <= y and (x.own = -1 or x.own <> y.own)")
+    rows = blocks.join(texts, "id").withColumn("x", F.struct("own", "block"))
+    left = pairs.join(rows, ["cluster", "x"]).select("cluster", "x", "y", F.lit(0).alias("side"), "id", "c", "text")
+    right = pairs.join(rows.withColumnRenamed("x", "y"), ["cluster", "y"]).select("cluster", "x", "y", F.lit(1).alias("side"), "id", "c", "text")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = Shingler()
+        a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        bags = [[own.shingles(own.words(t)) for t in s["text"]] for s in (a, b)]
+        common = overlaps(*bags)
+        na, nb = (np.array([n.sum() for _, n in side]) for side in bags)
+        near = common >= similarity * (na[:, None] + nb[None, :] - common)
+        near &= a["c"].to_numpy()[:, None] != b["c"].to_numpy()[None, :]
+        i, j = np.nonzero(near)
+        ids = np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()])
+        nodes = np.unique(ids)
+        low = forest(np.searchsorted(nodes, a["id"].to_numpy()[i]), np.searchsorted(nodes, b["id"].to_numpy()[j]), len(nodes))
+        moved = low != np.arange(len(nodes))
+        return pd.DataFrame({"a": nodes[low[moved]], "b": nodes[moved]})
+
+    return left.union(right).groupBy("cluster", "x", "y").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: key, th (the text's hash), group_id (smallest key of its group), kept (the row that stands for the group), n_words.
 
@@ -155,38 +221,33 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, text: str = "text",
     """
     own = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
     signed = save(map_texts(own, "text", "digest binary, bands array<long>, size long", _signed_texts).drop("text"))
-    some = signed.where("digest is not null")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "th")
-    classes = save(some.groupBy("digest").agg(F.min(place).alias("first"), F.max("size").alias("size")))
-    # one row a class and band
-    banded = some.join(classes.select("digest", "first"), "digest").where(
-        F.col("key").eqNullSafe(F.col("first.key")) & (F.col("th") == F.col("first.th"))).select("digest", F.explode("bands").alias("h")).distinct()
-    leaders = banded.groupBy("h").agg(F.min("digest").alias("a"), F.max("digest").alias("z")).where("a <> z").select("h", "a")
-    shared = save(banded.join(leaders, "h").select("h", "a", F.col("digest").alias("b")))
-    wanted = shared.select(F.col("b").alias("digest")).distinct().join(classes, "digest").select(
-        "digest", F.col("first.key").alias("k"), F.col("first.th").alias("t"))
-    texts = own.join(wanted, own["key"].eqNullSafe(wanted["k"]) & (own["th"] == wanted["t"])).groupBy("digest").agg(F.first("text").alias("text"))
+    classes = signed.where("digest is not null").groupBy("digest").agg(F.min(place).alias("first"), F.max("size").alias("size"), F.first("bands").alias("bands"))
+    classes = save(classes.withColumn("id", F.monotonically_increasing_id()))  # saved, so the numbers stay
+    banded = classes.select("id", F.explode("bands").alias("h"))
+    leaders = banded.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("h", "a")
+    stars = save(banded.join(leaders, "h").where("id <> a").select("a", F.col("id").alias("b")).distinct())
+    wanted = stars.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes, "id").select(
+        "id", F.col("first.key").alias("k"), F.col("first.th").alias("t"))
+    texts = own.join(wanted, own["key"].eqNullSafe(wanted["k"]) & (own["th"] == wanted["t"])).groupBy("id").agg(F.first("text").alias("text"))
     texts = save(texts)
     spark = df.sparkSession
-    links = save(_verified(shared.where("a <> b").select("a", "b").distinct(), classes, texts, similarity))
-    found = save(components(spark, links))
-    # classes of one bucket that the comparison with its first class has left in different components
-    placed = shared.join(found.select(F.col("node").alias("b"), "component"), "b", "left").select(
-        "h", "b", F.coalesce("component", "b").alias("c"))
-    mixed = placed.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
-    placed = placed.join(mixed, "h", "left_semi")
-    one, two = placed.select("h", F.col("b").alias("x"), F.col("c").alias("cx")), placed.select("h", F.col("b").alias("y"), F.col("c").alias("cy"))
-    rest = one.join(two, "h").where("cx < cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = save(_verified(rest, classes, texts, similarity))
-    found = components(spark, links.union(more))
-    whole = classes.join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    links = save(_verified(stars, classes, texts, similarity))
+    # clusters of buckets that the comparison with their first classes has left in several components
+    cluster = components(spark, stars).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    found = components(spark, links).select(F.col("node").alias("id"), F.col("component").alias("c"))
+    placed = save(cluster.join(found, "id", "left").select("id", "cluster", F.coalesce("c", "id").alias("c")))
+    mixed = placed.groupBy("cluster").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("cluster")
+    more = save(_block_links(placed.join(mixed, "cluster", "left_semi"), texts, similarity))
+    found = components(spark, links.union(more)).select(F.col("node").alias("id"), "component")
+    whole = classes.select("id", "digest", "first").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     lead = whole.groupBy("component").agg(F.min("first").alias("lead"))
     group = whole.join(lead, "component").select("digest", "lead")
     return signed.join(group, "digest", "left").select(
         F.col("key").alias(key), "th",
         F.when(F.col("lead").isNull(), F.col("key")).otherwise(F.col("lead.key")).alias("group_id"),
         (F.col("lead").isNull() | (F.col("key").eqNullSafe(F.col("lead.key")) & (F.col("th") == F.col("lead.th")))).alias("kept"),
-        F.coalesce(F.when(F.col("size").isNotNull(), F.col("size")), F.lit(0)).alias("n_shingles"))
+        F.coalesce("size", F.lit(0)).cast("long").alias("n_shingles"))
 
 
 def drop_near_duplicates(df: DataFrame, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:

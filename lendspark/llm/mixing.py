@@ -62,7 +62,8 @@ class Plan:
         self.target = targets(self.sizes, share, most, weight)
         self.whole = {s: int(self.target[s] // n) if n else 0 for s, n in self.sizes.items()}
         left = {s: self.target[s] - self.whole[s] * n for s, n in self.sizes.items()}
-        prefix, below, cut = dict.fromkeys(self.sizes, ""), dict.fromkeys(self.sizes, 0), {}
+        prefix, below = dict.fromkeys(self.sizes, ""), dict.fromkeys(self.sizes, 0)
+        cut = {s: "" for s, room in left.items() if room <= 0}  # below every hash
         depth = 0
         while len(cut) < len(self.sizes):
             todo = {s: prefix[s] for s in self.sizes if s not in cut}
@@ -70,7 +71,8 @@ class Plan:
                 F.sum("size").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")).collect()
             by: dict = {s: [] for s in todo}
             for r in found:
-                by[r["source"]].append(r)
+                if r["source"] in by:
+                    by[r["source"]].append(r)
             for s in todo:
                 cut[s] = "g"  # above every hash: all rows of the bucket fit
                 for r in sorted(by[s], key=lambda r: r["d"]):
