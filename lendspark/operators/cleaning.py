@@ -172,8 +172,12 @@ def fit_cleaning(
     fit_on: str = "all",
     id_col: str = K.ID,
     target: str = K.TARGET,
+    split: PartitionSpec | None = None,
 ) -> CleaningSpec:
-    """Fit the cleaning steps.  Medians use all rows, or with ``fit_on="train"`` only the train split."""
+    """Fit the cleaning steps.  Medians use all rows, or with ``fit_on="train"`` only the train split.
+
+    A ``split`` fitted before is used as it is; otherwise ``fractions`` and ``seed`` define one.
+    """
     require_columns(df, [id_col, target])
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
@@ -188,7 +192,8 @@ def fit_cleaning(
     nulls = {c: row[c] for c in fixed.columns}
     dropped = {c: k / n for c, k in nulls.items() if n and k / n > drop_threshold}
     kept = fixed.drop(*dropped)
-    split = fit_stratified_split(df, id_col, target, fractions, seed)
+    if split is None:
+        split = fit_stratified_split(df, id_col, target, fractions, seed)
     holes = {c: nulls[c] for c in kept.columns if nulls[c] and c not in (id_col, target)}
     numbers = [c for c in numeric_columns(kept) if c in holes]
     if fit_on == "all":

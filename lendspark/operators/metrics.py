@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..session import materialize
-from .ordering import running_sums
+from .ordering import join_groups, running_sums
 
 
 def confusion_metrics(
@@ -57,7 +57,7 @@ def score_steps(df: DataFrame, score: str, by: Sequence[str] = (), target: str =
     steps = running_sums(per, score, {"tp": "p", "fp": "q"}, by, **opts)
     totals = per.groupBy(*by).agg(F.sum("p").alias("pos"), F.sum("q").alias("neg"))
     if by:
-        return steps.join(totals, by)
+        return join_groups(steps, totals, by)
     t = totals.first()
     return steps.withColumns({"pos": F.lit(t.pos), "neg": F.lit(t.neg)})
 
@@ -104,8 +104,8 @@ def roc_auc(df: DataFrame, score: str, by: Sequence[str] = (), target: str = K.T
 
 
 def youden_threshold(df: DataFrame, score: str, by: Sequence[str] = (), target: str = K.TARGET, **opts) -> DataFrame:
-    """(group, threshold, j): the score with the largest TPR - FPR, the highest score on ties."""
-    curve = roc_curve(df.where(F.col(score) <= 1.0), score, by, target, **opts)
+    """(group, threshold, j): the score up to 1 with the largest TPR - FPR, the highest on ties; rates are of all rows."""
+    curve = roc_curve(df, score, by, target, **opts).where("threshold <= 1")
     best = F.max(F.struct((F.col("tpr") - F.col("fpr")).alias("j"), F.col("threshold").alias("t")))
     return curve.groupBy(*by).agg(best.alias("b")).select(*by, F.col("b.t").alias("threshold"), F.col("b.j").alias("j"))
 
@@ -121,7 +121,7 @@ def choose_threshold(
     base = c.select(*by, (F.col("recall") + spec - 1).alias("j_fixed"))
     best = youden_threshold(df, score, by, target, **opts).withColumnsRenamed({"threshold": "t_youden", "j": "j_youden"})
     if by:
-        both = best.join(base, by)
+        both = join_groups(best, base, by)
     else:  # two one-row results
         b = base.first()
         both = best.withColumn("j_fixed", F.lit(b.j_fixed))
@@ -138,8 +138,8 @@ def model_report(
 ) -> DataFrame:
     """All metrics per model and slice from one scored frame."""
     by = list(by)
-    return areas(scored, score, by, target).drop("pos", "neg").join(
-        confusion_metrics(scored, score, threshold, by, target), by
+    return join_groups(
+        areas(scored, score, by, target).drop("pos", "neg"), confusion_metrics(scored, score, threshold, by, target), by
     ).withColumn("threshold", F.lit(threshold))
 
 

@@ -184,21 +184,26 @@ def balanced_copies(df: DataFrame, balance: ClassBalance, target: str = K.TARGET
 def train_mlp(
     train: DataFrame, val: DataFrame, features: Sequence[str], hidden: tuple[int, ...] = (128, 64),
     iterations: Sequence[int] = (25, 50, 100), imbalance: str = "pos_weight", target: str = K.TARGET, seed: int = K.SEED,
+    patience: int = 3,
 ) -> FittedModel:
-    """Two-layer network.  Early stopping becomes the number of iterations with the best validation AUC."""
+    """Two-layer network.  Early stopping becomes the number of iterations with the best validation AUC; the search ends after
+    ``patience`` settings without a better one."""
     if imbalance not in ("pos_weight", "none"):
         raise ValueError("the network takes imbalance 'pos_weight' or 'none'")
     spec = fit_model_input(train, features)
     rows = train if imbalance == "none" else balanced_copies(train, class_balance(train, target), target)
-    best, best_auc = None, -1.0
+    best, best_auc, waited = None, -1.0, 0
     for n in iterations:
         net = MultilayerPerceptronClassifier(layers=[len(features), *hidden, 2], maxIter=n, seed=seed)
         model = _fit("mlp", rows, features, net, "none", target, True, spec,
                      {"hidden": list(hidden), "iterations": n, "imbalance": imbalance})
         auc = areas(model.score(val), "score", target=target).first().roc_auc
-        if auc <= best_auc:
+        if auc > best_auc:
+            best, best_auc, waited = model, auc, 0
+            continue
+        waited += 1
+        if waited >= patience:
             break
-        best, best_auc = model, auc
     best.config["best_val_auc"] = best_auc
     return best
 

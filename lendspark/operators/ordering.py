@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
+from .small import literal_frame
+
 SINGLE_TASK_ROWS = 1_000_000
 MAX_BUCKETS = 1024
 
@@ -37,6 +40,13 @@ def range_bucket(
     return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on group columns in which NULL is a group like any other."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(named[f"_r_{c}"]) for c in by])
+    return left.join(named, same).drop(*[f"_r_{c}" for c in by])
+
+
 def running_sums(
     df: DataFrame,
     order_col: str,
@@ -63,7 +73,7 @@ def running_sums(
         *by, "_bucket", *[F.coalesce(F.sum(f"_t_{new}").over(before), F.lit(0)).alias(f"_o_{new}") for new in sums]
     )
     inside = Window.partitionBy(*by, "_bucket").orderBy(col_order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = bucketed.join(offsets, [*by, "_bucket"])
+    joined = join_groups(bucketed, offsets, [*by, "_bucket"])
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
         *[(F.sum(c).over(inside) + F.col(f"_o_{new}")).alias(new) for new, c in sums.items()],
@@ -75,7 +85,6 @@ def running_sums(
 # ---------------------------------------------------------------------------------------------------------------------
 
 _DIGITS = 3
-MAX_STRATA = 64
 
 
 @dataclass(frozen=True)
@@ -94,22 +103,25 @@ def not_after(h: Column, id_col: str, cut: HashCut) -> Column:
     return (h < cut.digest) | ((h == cut.digest) & (F.col(id_col) <= cut.id))
 
 
-def hash_prefix_counts(df: DataFrame, id_col: str, seed: int, strata: str | None) -> dict[tuple, int]:
-    """{(stratum, first three hex digits): rows}: at most 4,096 numbers per stratum, and strata are few (checked)."""
+def hash_prefix_counts(df: DataFrame, id_col: str, seed: int, strata: str | None) -> DataFrame:
+    """(s, p, n): rows per stratum and first three hex digits, as a written table of at most 4,096 rows a stratum."""
     keyed = _keyed(df, id_col, seed, strata)
-    cap = MAX_STRATA * 16**_DIGITS
-    rows = keyed.groupBy("s", F.substring("h", 1, _DIGITS).alias("p")).agg(F.count("*").alias("n")).limit(cap + 1)
-    counts = {(r.s, r.p): r.n for r in rows.collect()}
-    if len(counts) > cap:
-        raise ValueError(f"{strata} has more than {MAX_STRATA} values; stratify on a label or class column")
-    return counts
+    return materialize(keyed.groupBy("s", F.substring("h", 1, _DIGITS).alias("p")).agg(F.count("*").alias("n")))
+
+
+def stratum_sizes(counts: DataFrame) -> dict:
+    """Rows per stratum; the spec that is fitted holds a few numbers for each as well."""
+    return {r.s: r.n for r in counts.groupBy("s").agg(F.sum("n").alias("n")).collect()}
 
 
-def stratum_sizes(counts: dict[tuple, int]) -> dict:
-    sizes: dict = {}
-    for (s, _), n in counts.items():
-        sizes[s] = sizes.get(s, 0) + n
-    return sizes
+def _located(counts: DataFrame, ranks: dict[object, list[int]]) -> dict[tuple, tuple[str, int, int]]:
+    """(stratum, rank) -> (prefix that holds it, rank inside the prefix, rows under it), found by running sums in Spark."""
+    kind = dict(counts.dtypes)["s"]
+    wanted = literal_frame(counts.sparkSession, [(s, r) for s, rs in ranks.items() for r in sorted(set(rs)) if r > 0], f"t {kind}, want long")
+    upto = F.sum("n").over(Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
+    rows = counts.withColumn("upto", upto).join(wanted, F.col("s").eqNullSafe(F.col("t")))
+    rows = rows.where("want <= upto and want > upto - n")
+    return {(r.s, r.want): (r.p, r.want - r.upto + r.n, r.n) for r in rows.collect()}
 
 
 def _keyed(df: DataFrame, id_col: str, seed: int, strata: str | None) -> DataFrame:
@@ -119,7 +131,7 @@ def _keyed(df: DataFrame, id_col: str, seed: int, strata: str | None) -> DataFra
 
 def hash_cuts(
     df: DataFrame, id_col: str, seed: int, ranks: dict[object, list[int]], strata: str | None,
-    counts: dict[tuple, int], single_task_rows: int = SINGLE_TASK_ROWS,
+    counts: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> dict[object, list[HashCut | None]]:
     """For each stratum, the rows at the given 1-based ranks in (md5, id) order; rank 0 gives None.
 
@@ -129,7 +141,7 @@ def hash_cuts(
     """
     keyed = _keyed(df, id_col, seed, strata)
     # (stratum, rank) -> (prefix, rank inside the prefix, rows under it)
-    located = {(s, r): _locate(counts, s, "", r) for s, rs in ranks.items() for r in rs if r > 0}
+    located = _located(counts, ranks)
     while True:
         depth = min((len(p) for p, _, n in located.values() if n > single_task_rows), default=0)
         deep = {k: v for k, v in located.items() if v[2] > single_task_rows and len(v[0]) == depth}

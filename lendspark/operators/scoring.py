@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -115,8 +115,11 @@ def sensitivity(
     forms: DataFrame, spec: ModelInputSpec, model: Transformer, *keys: str, **policy
 ) -> DataFrame:
     """(keys, field, direction, base_value, new_value, probability_of_default, recommendation) from one batch score."""
-    moved = perturbations(forms, *keys).where("new_value IS NOT NULL")
     tags = [*keys, "field", "direction", "base_value", "new_value"]
-    return score(spec.transform(raw_features(moved, *tags)), model, **policy).select(
-        *tags, "probability_of_default", "recommendation"
-    )
+    scored = score(spec.transform(raw_features(perturbations(forms, *keys), *tags)), model, **policy)
+    return scored.select(*tags, *[moved_only(c) for c in ("probability_of_default", "recommendation")])
+
+
+def moved_only(result: str) -> Column:
+    """A zero input can't be moved: its row stays, without a result."""
+    return F.when(F.col("new_value").isNotNull(), F.col(result)).alias(result)

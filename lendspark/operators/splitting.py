@@ -90,7 +90,7 @@ def fit_stratified_kfold(
 def sample_rows(df: DataFrame, n: int, id_col: str = K.ID, seed: int = K.SEED) -> DataFrame:
     """Exactly ``n`` rows, uniformly by seeded hash; a filter on the data, not a sort of it."""
     counts = hash_prefix_counts(df, id_col, seed, None)
-    if n >= sum(counts.values()):
+    if n >= sum(stratum_sizes(counts).values()):
         return df
     cut = hash_cuts(df, id_col, seed, {0: [n]}, None, counts)[0][0]
     return df.where(not_after(hash_key(id_col, seed), id_col, cut)) if cut else df.limit(0)

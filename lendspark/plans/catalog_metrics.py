@@ -66,14 +66,24 @@ def pr_curve(spark, sf):
     return rounded(M.pr_curve(two_scores(spark, sf), "score", _BY), 8)
 
 
+# ... and a third one without a name, whose scores pass 1: an unnamed group is a group, and no threshold above 1 is chosen
+_CURVES = {**_CURVES, "two": _TWO["two"] + " UNION ALL SELECT NULL, SPLIT, TARGET, round(1.6 * SCORE, 6) FROM tagged WHERE SCORE IS NOT NULL"}
+
+
+def three_scores(spark, sf):
+    two = two_scores(spark, sf)
+    third = two.where("model = 'policy'").withColumns({"model": F.lit(None).cast("string"), "score": F.round(1.6 * F.col("score"), 6)})
+    return two.unionByName(third)
+
+
 @query("roc_auc", "SELECT model, SPLIT, round(roc_auc, 8) AS roc_auc FROM area", {**_CURVES, "area": _AREA})
 def roc_auc(spark, sf):
-    return rounded(M.roc_auc(two_scores(spark, sf), "score", _BY).select(*_BY, "roc_auc"), 8)
+    return rounded(M.roc_auc(three_scores(spark, sf), "score", _BY).select(*_BY, "roc_auc"), 8)
 
 
 @query("pr_auc", "SELECT model, SPLIT, round(pr_auc, 8) AS pr_auc FROM area", {**_CURVES, "area": _AREA})
 def pr_auc(spark, sf):
-    return rounded(M.areas(two_scores(spark, sf), "score", _BY).select(*_BY, "pr_auc"), 8)
+    return rounded(M.areas(three_scores(spark, sf), "score", _BY).select(*_BY, "pr_auc"), 8)
 
 
 _BEST = """SELECT model, SPLIT, score AS threshold, j FROM (SELECT *, tp / pos - fp / neg AS j, row_number() OVER (
@@ -82,30 +92,30 @@ _BEST = """SELECT model, SPLIT, score AS threshold, j FROM (SELECT *, tp / pos -
 
 @query("youden_threshold", "SELECT model, SPLIT, threshold, round(j, 8) AS j FROM best", {**_CURVES, "best": _BEST})
 def youden_threshold(spark, sf):
-    return rounded(M.youden_threshold(two_scores(spark, sf), "score", _BY), 8)
+    return rounded(M.youden_threshold(three_scores(spark, sf), "score", _BY), 8)
 
 
 @query("choose_threshold", """SELECT model, SPLIT, CASE WHEN j - j0 >= 0.2 THEN threshold ELSE 0.5 END AS threshold,
   round(CASE WHEN j - j0 >= 0.2 THEN j ELSE j0 END, 8) AS j FROM best JOIN (
-    SELECT model, SPLIT, recall + tn / (tn + fp) - 1 AS j0 FROM ratios) USING (model, SPLIT)""",
+    SELECT model AS m, SPLIT AS s, recall + tn / (tn + fp) - 1 AS j0 FROM ratios) ON model IS NOT DISTINCT FROM m AND SPLIT = s""",
        {**_CURVES, "best": _BEST, "counts": _COUNTS, "ratios": _RATIOS})
 def choose_threshold(spark, sf):
-    return rounded(M.choose_threshold(two_scores(spark, sf), "score", _BY).select(*_BY, "threshold", "j"), 8)
+    return rounded(M.choose_threshold(three_scores(spark, sf), "score", _BY).select(*_BY, "threshold", "j"), 8)
 
 
 _REPORT = {**_CURVES, "area": _AREA, "counts": _COUNTS, "ratios": _RATIOS,
-           "report": "SELECT * FROM ratios JOIN area USING (model, SPLIT)"}
+           "report": "SELECT r.*, roc_auc, pr_auc FROM ratios r JOIN area a ON r.model IS NOT DISTINCT FROM a.model AND r.SPLIT = a.SPLIT"}
 _NAMES = ["roc_auc", "pr_auc", "precision", "recall", "f1", "accuracy"]
 
 
 @query("metrics_report", "SELECT model, SPLIT, tn, fp, fn, tp, 0.5::DOUBLE AS threshold, "
        + ", ".join(f"round({m}, 8) AS {m}" for m in _NAMES) + " FROM report", _REPORT)
 def metrics_report(spark, sf):
-    return rounded(M.model_report(two_scores(spark, sf)), 8)
+    return rounded(M.model_report(three_scores(spark, sf)), 8)
 
 
 @query("metrics_flatten", " UNION ALL ".join(
-    f"SELECT 'run-1' AS run_id, model, SPLIT || '_{m}' AS \"key\", round({m}, 8) AS value FROM report" for m in _NAMES), _REPORT)
+    f"SELECT 'run-1' AS run_id, model, SPLIT || '_{m}' AS \"key\", round({m}, 8) AS value FROM report" for m in _NAMES), {**_REPORT, "two": _TWO["two"]})
 def metrics_flatten(spark, sf):
     return rounded(M.flatten_report(M.model_report(two_scores(spark, sf)), "run-1"), 8)
 
@@ -196,10 +206,10 @@ _WEEK = {
     "psi": "SELECT week, feature, sum((a - b) * ln(greatest(a, 1e-6) / greatest(b, 1e-6))) AS psi FROM shares GROUP BY ALL"}
 
 
-def weekly_events(spark, sf):
+def weekly_events(spark, sf, period="true"):
     """Event values by type and week."""
     week = F.window("ts", "7 days", startTime="4 days").start
-    return table(spark, sf, "events").select(
+    return table(spark, sf, "events").where(period).select(
         F.date_format(week, "yyyy-MM-dd").alias("week"), F.col("event_type").alias("feature"), F.col("value").alias("x")
     )
 
@@ -210,10 +220,11 @@ def weekly_psi(spark, sf):
     from ..operators.quantiles import group_quantiles, unique_edges
 
     long = weekly_events(spark, sf)
-    reference = long.where("week = '2024-01-01'").select(F.col("feature").alias("key"), "x")
+    first = weekly_events(spark, sf, "ts >= timestamp'2024-01-01' and ts < timestamp'2024-01-08'")  # reaches the scan
+    reference = first.select(F.col("feature").alias("key"), "x")
     edges = {k: unique_edges(q, 9) for k, q in group_quantiles(reference, [i / 10 for i in range(11)]).items()}
     counts = D.bin_counts_long(long, edges, ["week"])
-    ref = counts.where("week = '2024-01-01'").drop("week")
+    ref = D.bin_counts_long(first, edges)
     return rounded(D.psi_from_counts(counts, "week", edges, ref), 8)
 
 
@@ -331,20 +342,22 @@ _FORM_CTES = {
     "form": _FORM_SQL,
     "raw": "SELECT SK_ID_CURR, " + ", ".join(
         f"({_RAW_SQL.get(c, chr(34) + c + chr(34))})::DOUBLE AS \"{c}\"" for c in K.SCORER_INPUTS) + " FROM form",
-    "med": "SELECT " + ", ".join(f"quantile_cont(\"{c}\", 0.5) AS d{i}" for i, c in enumerate(K.SCORER_INPUTS)) + " FROM raw",
+    **S.SPLIT_CTES, "fit": "SELECT SK_ID_CURR FROM tagged WHERE SPLIT = 'train'",
+    "med": "SELECT " + ", ".join(f"quantile_cont(\"{c}\", 0.5) AS d{i}" for i, c in enumerate(K.SCORER_INPUTS)) + " FROM raw SEMI JOIN fit USING (SK_ID_CURR)",
     "filled": "SELECT SK_ID_CURR, " + ", ".join(
         f"coalesce(\"{c}\", d{i}) AS \"{c}\"" for i, c in enumerate(K.SCORER_INPUTS)) + " FROM raw, med",
     "st": "SELECT " + ", ".join(
-        f"avg(\"{c}\") AS m{i}, stddev_pop(\"{c}\") AS s{i}" for i, c in enumerate(K.SCORER_INPUTS)) + " FROM filled"}
+        f"avg(\"{c}\") AS m{i}, stddev_pop(\"{c}\") AS s{i}" for i, c in enumerate(K.SCORER_INPUTS)) + " FROM filled SEMI JOIN fit USING (SK_ID_CURR)"}
 
 
 @query("form_to_features", "SELECT SK_ID_CURR, " + ", ".join(
     f"round((\"{c}\" - m{i}) / s{i}, 6) AS \"{c}\"" for i, c in enumerate(K.SCORER_INPUTS)) + " FROM filled, st", _FORM_CTES)
 def form_to_features(spark, sf):
-    book = materialize(loans(spark, sf, _FORM))
+    book = materialize(loans(spark, sf, [K.TARGET, *_FORM]))
     forms = R.applicant_forms(book)
-    raw = R.raw_features(forms, "SK_ID_CURR")
-    return rounded(R.fit_scorer_inputs(raw).transform(raw))
+    raw = R.raw_features(forms, K.ID, K.TARGET)
+    train = fit_stratified_split(raw).transform(raw, K.SPLIT).where("SPLIT = 'train'")  # no fitted number sees other rows
+    return rounded(R.fit_scorer_inputs(train).transform(raw.drop(K.TARGET)))
 
 
 @query("sensitivity_inputs", """SELECT SK_ID_CURR, field, direction, CASE WHEN abs(v) < 1e-6 THEN NULL

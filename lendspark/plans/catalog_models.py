@@ -15,7 +15,8 @@ from ..operators import stats as T
 from ..operators.cleaning import fix_sentinel
 from ..operators.engineering import REQUIRED, credit_to_income, engineer_features, standardized
 from ..operators.neighbors import nearest_neighbours
-from ..operators.splitting import fit_stratified_split, only, sample_rows
+from ..operators.quantiles import exact_quantiles
+from ..operators.splitting import fit_stratified_split, only
 from ..session import materialize
 from . import sqlparts as S
 from .catalog_metrics import _FORM
@@ -42,11 +43,15 @@ _SMOTE = ["AMT_CREDIT", "AMT_INCOME_TOTAL", "DAYS_BIRTH"]
   round(unnest(near).d, 6) AS distance FROM (SELECT id, list_sort(arg_min(p, p, 5)) AS near FROM (
     SELECT a.SK_ID_CURR AS id, {'d': sqrt(""" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _SMOTE) + """),
       'n': b.SK_ID_CURR} AS p FROM pos a JOIN pos b ON a.SK_ID_CURR <> b.SK_ID_CURR) GROUP BY id)""", {
-    **S.SPLIT_CTES, "pos": "SELECT * FROM tagged WHERE SPLIT = 'train' AND TARGET = 1 AND AMT_INCOME_TOTAL IS NOT NULL"})
+    **S.SPLIT_CTES,    "med": "SELECT " + ", ".join(f"quantile_cont({c}::DOUBLE, 0.5) AS m{i}" for i, c in enumerate(_SMOTE)) + " FROM tagged WHERE SPLIT = 'train'",
+    "pos": "SELECT SK_ID_CURR, " + ", ".join(f"coalesce({c}::DOUBLE, m{i}) AS {c}" for i, c in enumerate(_SMOTE))
+           + " FROM tagged, med WHERE SPLIT = 'train' AND TARGET = 1"})
 def smote_neighbors(spark, sf):
     df = loans(spark, sf, ["SK_ID_CURR", "TARGET", *_SMOTE])
-    train = only(fit_stratified_split(df).transform(df, K.SPLIT), "train").where("TARGET = 1").dropna(subset=_SMOTE)
-    near = nearest_neighbours(train, K.ID, _SMOTE, 5)
+    train = only(fit_stratified_split(df).transform(df, K.SPLIT), "train")
+    medians = {c: q[0] for c, q in exact_quantiles(train, _SMOTE, [0.5]).items()}
+    rows = train.where("TARGET = 1").select(K.ID, *[F.col(c).cast("double").alias(c) for c in _SMOTE]).fillna(medians)
+    near = nearest_neighbours(rows, K.ID, _SMOTE, 5)
     return near.withColumn("distance", F.round("distance", 6))
 
 
@@ -102,13 +107,13 @@ def tune_trials(spark, sf):
 @query("cv_auc")
 def cv_auc(spark, sf):
     sets = {"all": FEATURES, "top": FEATURES[:5]}
-    return M_.cross_validated_auc(model_frame(spark, sf), sets, k=5, max_iter=50)
+    return M_.cross_validated_auc(model_frame(spark, sf).where("SPLIT <> 'test'"), sets, k=5)
 
 
 @query("cv_summary")
 def cv_summary(spark, sf):
     sets = {"all": FEATURES, "top": FEATURES[:5]}
-    folds = M_.cross_validated_auc(model_frame(spark, sf), sets, k=5, max_iter=50)
+    folds = M_.cross_validated_auc(model_frame(spark, sf).where("SPLIT <> 'test'"), sets, k=5)
     return T.carry_forward(T.fold_summary(folds), "top", "all")
 
 
@@ -152,7 +157,7 @@ def rf_importance(spark, sf):
 def mean_abs_attribution(spark, sf):
     train = only(model_frame(spark, sf), "train")
     model = M_.train_gbt(train, FEATURES, n_trees=10, max_depth=3)
-    return A.mean_abs_attribution(model, sample_rows(train, 5000), K.ID)
+    return A.mean_abs_attribution(model, train, K.ID)
 
 
 @query("selected_features")
@@ -162,7 +167,7 @@ def selected_features(spark, sf):
     gbt = M_.train_gbt(train, FEATURES, n_trees=10, max_depth=3)
     rf = M_.train_random_forest(train, FEATURES, n_trees=20, max_depth=8)
     both = M_.importances(gbt, "xgb_importance").join(M_.importances(rf, "rf_importance"), "feature")
-    shap = A.mean_abs_attribution(gbt, sample_rows(train, 5000), K.ID)
+    shap = A.mean_abs_attribution(gbt, train, K.ID)
     return L.numbered(L.select_top_n(L.rank_merge(both), shap, 5))
 
 
@@ -178,8 +183,9 @@ def scorer(spark, sf):
     book = materialize(loans(spark, sf, ["TARGET", *_FORM]))
     forms = R.applicant_forms(book)
     raw = materialize(R.raw_features(forms, K.ID, K.TARGET))
-    spec = R.fit_scorer_inputs(raw)
-    return forms, raw, spec, M_.train_logreg(raw, K.SCORER_INPUTS, max_iter=50, spec=spec)
+    train = only(fit_stratified_split(raw).transform(raw, K.SPLIT), "train").drop(K.SPLIT)
+    spec = R.fit_scorer_inputs(train)
+    return forms, raw, spec, M_.train_logreg(train, K.SCORER_INPUTS, spec=spec)
 
 
 @query("batch_score")
@@ -191,6 +197,6 @@ def batch_score(spark, sf):
 @query("sensitivity_scores")
 def sensitivity_scores(spark, sf):
     forms, _, _, model = scorer(spark, sf)
-    raw = R.perturbations(forms, K.ID).where("new_value IS NOT NULL")
     tags = [K.ID, "field", "direction", "new_value"]
-    return R.score(R.raw_features(raw, *tags), model.pipeline).select(*tags, "probability_of_default", "recommendation")
+    scored = R.score(R.raw_features(R.perturbations(forms, K.ID), *tags), model.pipeline)
+    return scored.select(*tags, R.moved_only("probability_of_default"), R.moved_only("recommendation"))

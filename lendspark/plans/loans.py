@@ -96,8 +96,6 @@ def loans(spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(APPLI
         book = book.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     if "lines" in needs:
         used = [n for n in LINES if any(n in COLUMNS[c][1] for c in columns)]
-        # the partitioning a sort-merge join on the order key needs anyway; small books get all cores from it
-        book = book.repartition("o_orderkey")
         lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*[F.expr(LINES[n]).alias(n) for n in used])
         book = book.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return book.select(*[F.expr(COLUMNS[c][1]).alias(c) for c in columns])

@@ -109,7 +109,7 @@ def test_deep_hash_prefixes_give_the_same_cuts(spark, toy):
     counts = hash_prefix_counts(toy, "SK_ID_CURR", 3, "TARGET")
     ranks = {0: [10, 50], 1: [7, 70]}
     wide = hash_cuts(toy, "SK_ID_CURR", 3, ranks, "TARGET", counts)
-    coarse = {(s, ""): sum(n for (t, _), n in counts.items() if t == s) for s in (0, 1)}
+    coarse = counts.groupBy("s").agg(F.sum("n").alias("n")).select("s", F.lit("").alias("p"), "n")
     assert wide == hash_cuts(toy, "SK_ID_CURR", 3, ranks, "TARGET", coarse, single_task_rows=2)
 
 
@@ -120,12 +120,12 @@ def test_folds_and_samples(toy):
     assert sample_rows(toy, 40).count() == 40 and sample_rows(toy, 400).count() == 300 and sample_rows(toy, 0).count() == 0
 
 
-def test_too_many_strata_is_an_error(spark, monkeypatch):
-    from lendspark.operators import ordering
-
-    monkeypatch.setattr(ordering, "MAX_STRATA", 0)
-    with pytest.raises(ValueError):
-        fit_stratified_split(spark.range(100).select(F.col("id").alias("SK_ID_CURR"), F.lit(1).alias("TARGET")))
+@pytest.mark.parametrize("rows", [200, 200_000])
+def test_many_strata_at_any_size(spark, rows):
+    df = spark.range(rows).select(F.col("id").alias("SK_ID_CURR"), F.when(F.col("id") % 100 > 0, F.col("id") % 100).cast("int").alias("TARGET"))
+    spec = fit_stratified_split(df)
+    sizes = {(r.TARGET, r.SPLIT): r["count"] for r in spec.transform(df, "SPLIT").groupBy("TARGET", "SPLIT").count().collect()}
+    assert all(sizes[s, "train"] == int(0.7 * rows // 100) for s in [None, *range(1, 100)])
 
 
 def test_nan_becomes_null(spark):

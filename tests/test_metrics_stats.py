@@ -149,3 +149,29 @@ def test_carry_forward(spark):
     r = T.carry_forward(T.fold_summary(folds), "top", "all").first()
     assert r.delta == pytest.approx(-0.01) and r.auc_small == pytest.approx(0.71)
     assert T.carry_forward(T.fold_summary(folds), "top", "all", 0.005).first().carry_forward == "all"
+
+
+def test_many_split_values_and_zero_inputs_and_gaps(spark):
+    from pyspark.sql import functions as F
+
+    from lendspark.operators.balance import smote_rows
+    from lendspark.operators.drift import check_slices
+    from lendspark.operators.metrics import areas, model_report, youden_threshold
+
+    names = ["train", "val", "test", *[f"other{k}" for k in range(30)]]
+    check_slices(spark.createDataFrame([(n, 1.0) for n in names[::-1]], "SPLIT string, x double"), ["x"])
+    with pytest.raises(ValueError):
+        check_slices(spark.createDataFrame([("train", 1.0), ("val", 1.0)], "SPLIT string, x double"), ["x"])
+    # thresholds above 1 are passed over, the rows behind them count
+    rows = [("a", 1.4, 1), ("a", 1.2, 1), ("a", 0.8, 1), ("a", 0.7, 1), ("a", 0.6, 0), ("a", 0.5, 1), (None, 0.9, 1), (None, 0.1, 0)]
+    df = spark.createDataFrame(rows, "model string, score double, TARGET int").withColumn("SPLIT", F.lit("val"))
+    best = {r.model: (r.threshold, round(r.j, 6)) for r in youden_threshold(df, "score", ["model"]).collect()}
+    assert best == {"a": (0.7, 0.8), None: (0.9, 1.0)}
+    assert {r.model for r in areas(df, "score", ["model"], single_task_rows=2).collect()} == {"a", None}
+    assert {r.model for r in model_report(df).collect()} == {"a", None}
+    # every minority row is a source, also with gaps
+    train = spark.createDataFrame([(k, int(k < 40), float(k), None if k % 2 else float(k % 7)) for k in range(400)],
+                                  "SK_ID_CURR long, TARGET int, x double, y double")
+    made = smote_rows(train, ["x", "y"])
+    assert made.select("source_id").distinct().count() == 40 and made.count() == 320
+    assert smote_rows(train.where("TARGET = 1"), ["x", "y"]).columns == made.columns
