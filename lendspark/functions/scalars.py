@@ -79,10 +79,10 @@ def feature_family(name: Column | str) -> Column:
     rules = [
         (n.startswith("EXT_SOURCE"), "EXT_SOURCE"),
         (n.startswith("DAYS_") | n.isin("AGE_YEARS", "EMPLOYED_YEARS"), "Time-derived"),
-        (n.rlike("^(NAME_|CODE_|FLAG_)"), "One-hot / flag"),
-        (n.rlike("RATIO|INCOME"), "Ratio"),
+        (n.startswith("NAME_") | n.startswith("CODE_") | n.startswith("FLAG_"), "One-hot / flag"),
+        (n.contains("RATIO") | n.contains("INCOME"), "Ratio"),
         (n.startswith("AMT_"), "Amount"),
-        (n.rlike("AREA|LIVING"), "Area"),
+        (n.contains("AREA") | n.contains("LIVING"), "Area"),
     ]
     out = F.when(*rules[0])
     for cond, label in rules[1:]:

@@ -70,8 +70,15 @@ def segments_all_dimensions(
     )
 
 
+def member_filter(df: DataFrame, col: str, values: Sequence | DataFrame) -> DataFrame:
+    """Rows whose ``col`` is among ``values``: a short list, or a frame of any length whose first column is joined."""
+    if isinstance(values, DataFrame):
+        return df.join(values.select(F.col(values.columns[0]).alias("_v")), F.col(col) == F.col("_v"), "left_semi")
+    return df.where(F.col(col).isin(list(values)))
+
+
 def region_filter(df: DataFrame, ratings: Sequence[int], col: str = "REGION_RATING_CLIENT") -> DataFrame:
-    return df.where(F.col(col).isin(list(ratings)))
+    return member_filter(df, col, ratings)
 
 
 def segment_export(segments: DataFrame) -> DataFrame:

@@ -264,11 +264,13 @@ def value_map(spark, sf):
     return df.select("SK_ID_CURR", map_values("NAME_EDUCATION_TYPE", K.EDUCATION_INDICATOR).alias("indicator"))
 
 
-@query("numeric_columns", "SELECT * FROM (VALUES " + ", ".join(f"('{c}')" for c in NUMERIC) + """) t(feature)
-  SEMI JOIN (SELECT count(*) AS n FROM loans) c ON c.n > 0""")
+@query("numeric_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) - count({c}) AS n_null, round(avg({c}::DOUBLE), 6) AS mean FROM loans" for c in NUMERIC))
 def numeric_columns_query(spark, sf):
     from ..operators.guards import numeric_columns
 
     df = loans(spark, sf)
     names = numeric_columns(df, K.NON_FEATURES)
-    return P.null_counts(df, names).select(F.col("column").alias("feature"))
+    return df.select(*names).agg(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.count_if(F.col(c).isNull()).alias("n_null"), F.round(F.avg(F.col(c).cast("double")), 6).alias("mean")
+    ) for c in names]).alias("rows")).select(F.inline("rows"))

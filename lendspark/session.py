@@ -63,8 +63,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     For frames that several fits read: computed once, columnar, pruned per reader, and a lost executor re-reads files
-    instead of recomputing the plan behind them.
+    instead of recomputing the plan behind them.  Each application has a folder of its own, deleted when it ends.
     """
-    path = f"{shared_dir(df.sparkSession)}/lendspark-tables/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/lendspark-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import SINGLE_TASK_ROWS, range_bucket
+from ..session import materialize
+
 _ID_BLOCK = 1 << 20
 
 
@@ -67,18 +70,29 @@ def check_fingerprint(spark: SparkSession, path: str, length: int, md5: str) ->
         raise ValueError(f"{path}: expected {length} bytes with md5 {md5}, got {got.length} with {got.md5}")
 
 
-def id_gaps(df: DataFrame, id_col: str) -> DataFrame:
+def _between(ends: DataFrame, bucket_rows: int) -> DataFrame:
+    """(id, next_id) from each block's last id to the next block's first."""
+    step = lambda w: F.lead("lo").over(w).alias("next_id")
+    ends = materialize(ends)
+    bucketed = range_bucket(ends.withColumn("at", F.col("block").cast("double")), "at", single_task_rows=bucket_rows)
+    if bucketed is None:
+        return ends.select(F.col("hi").alias("id"), step(Window.partitionBy(F.lit(0)).orderBy("block")))
+    inside = bucketed.select(F.col("hi").alias("id"), step(Window.partitionBy("_bucket").orderBy("block")))
+    last = bucketed.groupBy("_bucket").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return inside.unionByName(last.select(F.col("hi").alias("id"), step(Window.partitionBy(F.lit(0)).orderBy("_bucket"))))
+
+
+def id_gaps(df: DataFrame, id_col: str, bucket_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """(id, next_id, n_missing) where sorted ids jump.
 
-    Distinct ids fall into blocks of 2^20 consecutive values, so no window holds more than 2^20 rows.  Only block ends (one
-    row per block) meet in a second, 2^20 times smaller window.
+    Distinct ids fall into blocks of 2^20 consecutive values, so no window holds more than 2^20 rows.  Block ends (one row per
+    block; for scattered ids that is one per id) are linked inside range buckets, and only bucket ends meet in one window.
     """
     ids = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct()
     ids = ids.withColumn("block", F.floor(F.col("id") / _ID_BLOCK))
     inner = ids.withColumn("next_id", F.lead("id").over(Window.partitionBy("block").orderBy("id"))).select("id", "next_id")
     ends = ids.groupBy("block").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    between = ends.select(F.col("hi").alias("id"), F.lead("lo").over(Window.orderBy("block")).alias("next_id"))
-    return inner.unionByName(between).where(F.col("next_id") - F.col("id") > 1).withColumn(
+    return inner.unionByName(_between(ends, bucket_rows)).where(F.col("next_id") - F.col("id") > 1).withColumn(
         "n_missing", F.col("next_id") - F.col("id") - 1
     )
 

@@ -119,3 +119,17 @@ def test_gaps_and_missing_ids(spark):
     assert got == [(2, 5, 2), (6, 2_000_000, 1_999_993), (2_000_001, 5_000_000, 2_999_998)]
     assert sorted(r.id for r in A.missing_ids(df.where("id < 10"), "id").collect()) == [3, 4]
     assert A.missing_ids(df.where("id < 10"), "id", 0, 7).count() == 4
+
+
+def test_scattered_ids_link_across_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from lendspark.operators.segments import member_filter
+    from lendspark.sources.audits import id_gaps
+
+    ids = sorted({(k * 7919) ** 3 % (1 << 44) for k in range(1, 300)})
+    df = spark.createDataFrame([(i,) for i in ids[::-1]], "id long")
+    got = sorted((r.id, r.next_id, r.n_missing) for r in id_gaps(df, "id", bucket_rows=20).collect())
+    assert got == [(a, b, b - a - 1) for a, b in zip(ids, ids[1:]) if b - a > 1]
+    wanted = df.where(F.col("id") % 2 == 0)
+    assert member_filter(df, "id", wanted).count() == wanted.count() == member_filter(df, "id", [r.id for r in wanted.collect()]).count()
