@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,20 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..session import shared_dir
+from ..session import materialize
 
 
-def save(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: one copy that every executor reaches, so lost executors recompute nothing before it.
-
-    The files go when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+#: written to the shared folder and read back: one copy that every executor reaches, so lost executors recompute nothing before it
+save = materialize
 
 
 def drop(df: DataFrame) -> None:
