@@ -64,25 +64,17 @@ def map_texts(df: DataFrame, text: str, fields: str, make: Callable[[], Callable
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *new]))
 
 
-def bounded_sample(df: DataFrame, group: str, key: str, bound: int, buckets: int = 4096) -> DataFrame:
-    """About ``bound`` rows of each group at most, the same in every run: those whose hashed ``key`` is lowest.
+def bounded_sample(df: DataFrame, group: str, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows of each group, the same in every run: those whose hashed ``key`` lies below the group's share.
 
-    One count per (group, hash bucket) finds each group's threshold; no sort, and no group meets in a task.  The rows of the bucket
-    that crosses the bound are left out, so a group never exceeds it; groups below the bound are whole.
+    The share aims at 95 % of the bound, which chance then hardly passes; groups within the bound are whole.  One count per group (a
+    label or language, so few), no sort, and no group meets in a task.
     """
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(buckets))
-    counts = df.groupBy(F.col(group).alias("g"), bucket.alias("b")).count().collect()
-    totals: dict = {}
-    for row in sorted(counts, key=lambda r: r["b"]):
-        total, cut = totals.get(row["g"], (0, 0))
-        if cut == row["b"] or cut < 0:
-            pass
-        total += row["count"]
-        totals[row["g"]] = (total, row["b"] + 1 if total <= bound else cut)
-    cuts = {g: cut for g, (total, cut) in totals.items()}
+    place = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 52))
     keep = F.lit(False)
-    for g, cut in cuts.items():
-        keep = keep | (F.col(group).eqNullSafe(F.lit(g)) & (bucket < cut))
+    for g, n in df.groupBy(F.col(group).alias("g")).count().collect():
+        own = F.col(group).eqNullSafe(F.lit(g))
+        keep = keep | (own if n <= bound else own & (place < int(0.95 * bound / n * (1 << 52))))
     return df.where(keep)
 
 

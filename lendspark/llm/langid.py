@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_texts
+from .common import Remembered, bounded_sample, map_texts
 
 ORDER = 4
 _LETTERS = regex.compile(r"\p{L}+")
@@ -45,24 +45,21 @@ class Model:
         self.trees = [{context: (_bits(len(s), sum(s.values()) + len(s)), {b: _bits(c, sum(s.values()) + len(s)) for b, c in s.items()})
                        for context, s in seen[lang].items()} for lang in self.languages]
 
-    def word_bits(self, word: str) -> list[float]:
-        """Code length of a word and its end in each language."""
-        raw = b" " + word.encode() + b" "
-        out = []
+    def step_bits(self, gram: bytes) -> list[float]:
+        """Code length of the last byte of ``gram`` after the bytes before it (up to ORDER of its word), in each language."""
+        byte, out = gram[-1], []
         for tree in self.trees:
             total = 0.0
-            for i in range(1, len(raw)):
-                byte = raw[i]
-                for k in range(min(ORDER, i), -1, -1):
-                    node = tree.get(raw[i - k:i])
-                    if node is not None:  # an unknown context costs nothing: both sides know that it is unknown
-                        bits = node[1].get(byte)
-                        if bits is not None:
-                            total += bits
-                            break
-                        total += node[0]
-                else:
-                    total += 8.0
+            for k in range(len(gram) - 1, -1, -1):
+                node = tree.get(gram[len(gram) - 1 - k:-1])
+                if node is not None:  # an unknown context costs nothing: both sides know that it is unknown
+                    bits = node[1].get(byte)
+                    if bits is not None:
+                        total += bits
+                        break
+                    total += node[0]
+            else:
+                total += 8.0
             out.append(total)
         return out
 
@@ -72,19 +69,26 @@ def _bits(part: int, whole: int) -> float:
 
 
 class Scorer:
-    """Sums of word code lengths; remembers the chunks seen, within a fixed bound."""
+    """Sums of code lengths; remembers recent steps (a byte after its context) and recent chunks, within fixed bounds."""
 
-    KEPT = 400_000
+    KEPT = 300_000
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.rows = np.zeros((self.KEPT + 1, len(model.languages) + 1))
+        self.steps = Remembered(model.step_bits, 100_000)
+        self.rows = np.zeros((self.KEPT + 50_001, len(model.languages) + 1))
         self.place: dict[str, int] = {}
 
+    def word_bits(self, word: str) -> list[float]:
+        """Code length of a word and its end in each language."""
+        raw = b" " + word.encode() + b" "
+        steps = self.steps
+        return [sum(col) for col in zip(*[steps[raw[i - ORDER if i > ORDER else 0:i + 1]] for i in range(1, len(raw))])]
+
     def _chunk(self, chunk: str) -> list[float]:
         """Bits in each language, and the bytes coded."""
         words = _LETTERS.findall(chunk.lower())
-        bits = [self.model.word_bits(w) for w in words]
+        bits = [self.word_bits(w) for w in words]
         return [sum(col) for col in zip(*bits)] + [sum(len(w.encode()) + 1 for w in words)] if words else [0.0] * self.rows.shape[1]
 
     def _learn(self, chunk: str) -> int:
@@ -98,7 +102,7 @@ class Scorer:
         chunks = text.split()
         for start in range(0, len(chunks), 50_000):
             part = chunks[start:start + 50_000]
-            if len(self.place) + len(part) > self.KEPT:
+            if len(self.place) > self.KEPT:  # a part adds 50,000 at most
                 self.place.clear()
             known = self.place.get
             at = [known(c) for c in part]

@@ -177,3 +177,27 @@ d AS (SELECT doc_id, min(g) AS group_id FROM r GROUP BY doc_id)
 SELECT doc_id, group_id, doc_id = group_id AS kept, coalesce(size, 0)::BIGINT AS n_shingles
 FROM d LEFT JOIN (SELECT DISTINCT doc_id, size FROM s) USING (doc_id)
 """
+
+
+# windows from a line on (f) and up to a line (t), their first occurrences, and the lines that later occurrences cover
+ORACLES["op10_line_dedup"] = """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+w AS (SELECT doc_id, len(lines) AS total, list_filter(list_transform(lines, lambda x, i:
+        {'k': i - 1, 'n': len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')), 'x': trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13))}),
+        lambda s: s.n > 0) AS s FROM d),
+c AS (SELECT doc_id, total, list_transform(s, lambda e: e.k) AS k, list_transform(s, lambda e: e.x) AS x,
+        list_transform(range(0, len(s) + 1), lambda i: coalesce(list_sum(list_transform(s[1:i], lambda e: e.n)), 0)) AS c FROM w WHERE len(s) > 0),
+e AS (SELECT *, unnest(range(1, len(k) + 1)) AS i FROM c),
+r AS (
+  SELECT doc_id, total, k, x, i AS f, list_filter(range(i, len(k) + 1), lambda j: c[j + 1] - c[i] >= 5)[1] AS t FROM e
+  UNION
+  SELECT doc_id, total, k, x, list_filter(range(1, i + 1), lambda j: c[i + 1] - c[j] >= 5)[-1] AS f, i AS t FROM e),
+o AS (SELECT doc_id, k[f] AS a, coalesce(k[t + 1], total) - 1 AS b, array_to_string(x[f:t], chr(10)) AS body FROM r WHERE f IS NOT NULL AND t IS NOT NULL),
+m AS (SELECT body, arg_min({'doc': doc_id, 'b': b}, (doc_id, a, b)) AS m FROM o GROUP BY body HAVING count(*) > 1),
+g AS (SELECT doc_id, list(DISTINCT l) AS gone FROM (
+        SELECT doc_id, unnest(range(a, b + 1)) AS l FROM o JOIN m USING (body) WHERE doc_id <> m.doc OR a > m.b) GROUP BY doc_id),
+z AS (SELECT doc_id, coalesce(len(gone), 0)::INT AS n_cut, CASE WHEN gone IS NULL THEN text ELSE
+        array_to_string(list_filter(lines, lambda l, i: NOT list_contains(gone, i - 1)), chr(10)) END AS t FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, n_cut, strlen(u)::BIGINT AS n_bytes_left, md5(u) AS text_md5
+FROM (SELECT *, CASE WHEN n_cut > 0 AND NOT regexp_matches(t, '[^\\x20\\x09-\\x0D]') THEN '' ELSE t END AS u FROM z)
+"""

@@ -159,11 +159,12 @@ def test_language_code_lengths(spark):
     df = spark.createDataFrame([(k, w, lang) for k, (lang, w) in enumerate(words.items())] + [(9, None, "fr"), (10, "mot", None)], "doc_id long, text string, lang string")
     model = langid.train(df)
     assert model.languages == ["de", "en"]
+    scorer = langid.Scorer(model)
     for word in ("der", "then", "übung", "qqq"):
         want = [brute_bits(Counter(words[lang].split()), word) for lang in model.languages]
-        assert np.allclose(model.word_bits(word), want)
-    total = langid.Scorer(model).text("Der 12 then... übung")
-    assert np.allclose(total[:2], np.sum([model.word_bits(w) for w in ("der", "then", "übung")], axis=0))
+        assert np.allclose(scorer.word_bits(word), want)
+    total = scorer.text("Der 12 then... übung")
+    assert np.allclose(total[:2], np.sum([scorer.word_bits(w) for w in ("der", "then", "übung")], axis=0))
 
 
 def test_language_held_out_and_odd_rows(spark, sf):
