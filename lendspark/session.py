@@ -59,16 +59,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one.  Each application's folders lie in one that is deleted when it ends."""
+    folder = f"{shared_dir(spark)}/lendspark-{spark.sparkContext.applicationId}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     For frames that several fits read: computed once, columnar, pruned per reader, and a lost executor re-reads files
-    instead of recomputing the plan behind them.  Each application has a folder of its own, deleted when it ends.
+    instead of recomputing the plan behind them.
     """
-    spark = df.sparkSession
-    folder = f"{shared_dir(spark)}/lendspark-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = run_folder(df.sparkSession)
     df.write.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
