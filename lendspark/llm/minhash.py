@@ -217,11 +217,12 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, text: str = "text",
 
     A group is a connected component of texts linked by a weighted Jaccard similarity of ``similarity`` or more.  The row of smallest key
     is kept (then smallest text hash; null keys last).  Null texts and texts without words are groups of their own, and kept.
-    Rows repeated in full are one document and share its result.  Extra columns are ignored; an empty table gives none.
+    Of rows repeated with key and text, null keys included, one is kept.  Extra columns are ignored; an empty table gives none.
     """
     own = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
-    signed = save(map_texts(own, "text", "digest binary, bands array<long>, size long", _signed_texts).drop("text"))
-    place = F.struct(F.col("key").isNull().alias("none"), "key", "th")
+    signed = map_texts(own, "text", "digest binary, bands array<long>, size long", _signed_texts).drop("text")
+    signed = save(signed.withColumn("row", F.monotonically_increasing_id()))  # saved, so the numbers stay
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "th", "row")
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min(place).alias("first"), F.max("size").alias("size"), F.first("bands").alias("bands"))
     classes = save(classes.withColumn("id", F.monotonically_increasing_id()))  # saved, so the numbers stay
     banded = classes.select("id", F.explode("bands").alias("h"))
@@ -246,13 +247,22 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, text: str = "text",
     return signed.join(group, "digest", "left").select(
         F.col("key").alias(key), "th",
         F.when(F.col("lead").isNull(), F.col("key")).otherwise(F.col("lead.key")).alias("group_id"),
-        (F.col("lead").isNull() | (F.col("key").eqNullSafe(F.col("lead.key")) & (F.col("th") == F.col("lead.th")))).alias("kept"),
+        (F.col("lead").isNull() | (F.col("row") == F.col("lead.row"))).alias("kept"),
         F.coalesce("size", F.lit(0)).cast("long").alias("n_shingles"))
 
 
 def drop_near_duplicates(df: DataFrame, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` that stand for their groups; same columns.  Cases as for ``near_duplicates``."""
-    found = near_duplicates(df, similarity, text, key)
-    gone = found.where("not kept").select(F.col(key).alias("_key"), F.col("th").alias("_th")).distinct()
+    """The rows of ``df`` that stand for their groups; same columns.  Cases as for ``near_duplicates``.
+
+    Of rows that repeat key and text the one whose columns have the smallest hash stays: a grouped minimum over only such rows.
+    """
+    found = near_duplicates(df, similarity, text, key).where("n_shingles > 0")
+    state = found.groupBy(F.col(key).alias("_key"), F.col("th").alias("_th")).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    state = save(state.where("not kept or n > 1"))
+    twice = state.where("kept")
     own = F.xxhash64(df[text].cast("string"))
-    return df.join(gone, df[key].eqNullSafe(gone["_key"]) & (own == gone["_th"]), "left_anti")
+    once = df.join(state, df[key].eqNullSafe(state["_key"]) & (own == state["_th"]), "left_anti")
+    again = df.join(twice, df[key].eqNullSafe(twice["_key"]) & (own == twice["_th"]), "left_semi")
+    order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+    first = again.groupBy(df[key].alias("_key"), own.alias("_th")).agg(F.min_by(F.struct("*"), order).alias("_row"))
+    return once.union(first.select("_row.*"))

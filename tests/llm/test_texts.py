@@ -248,6 +248,17 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash.near_duplicates(docs(spark).where("false")).count() == 0
 
 
+def test_repeated_rows_keep_one(spark):
+    text, other = "a text that was taken in again and again", "some further words that nothing else here has"
+    rows = [(3, text)] * 4 + [(5, text)] * 2 + [(None, other)] * 5 + [(7, "alone on this line with words"), (None, None), (9, ""), (9, "")]
+    kept = minhash.drop_near_duplicates(docs(spark, rows))
+    assert kept.columns == docs(spark).columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(3, text), (None, other), (7, "alone on this line with words"), (None, None), (9, ""), (9, "")])
+    marked = minhash.near_duplicates(docs(spark, rows)).where("kept and n_shingles > 0").collect()
+    assert Counter((r.doc_id, r.group_id) for r in marked) == Counter([(3, 3), (None, None), (7, 7)])
+
+
 def brute_lines(rows):
     """Every run of at least MIN_WORDS words that occurred before."""
     first, gone = {}, {}
