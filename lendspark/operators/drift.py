@@ -59,12 +59,15 @@ def _opened(edges: list[float], open_ended: bool) -> list[float]:
 
 
 def bin_counts_long(long: DataFrame, edges: Edges, by: Sequence[str] = (), open_ended: bool = False) -> DataFrame:
-    """The same for rows already in long form (by, feature, x)."""
+    """The same for rows already in long form (by, feature, x), and for features without edges.
+
+    Values outside the edges or of a feature without bins are counted under a NULL bin, so every (by, feature) that has values has a row.
+    """
     table = edges_frame(long.sparkSession, edges, open_ended)
-    binned = long.where("x IS NOT NULL").join(table, "feature").withColumn(
+    binned = long.where("x IS NOT NULL").join(table, "feature", "left").withColumn(
         "bin", bin_index(F.col("x"), F.col("edges"), closed="left")
     )
-    return binned.where("bin IS NOT NULL").groupBy(*by, "feature", "bin").agg(F.count("*").alias("n"))
+    return binned.groupBy(*by, "feature", "bin").agg(F.count("*").alias("n"))
 
 
 def psi_bins(
@@ -176,10 +179,18 @@ def psi_by_window(
     df: DataFrame, features: Sequence[str], window_col: str, edges: Edges, reference_counts: DataFrame
 ) -> DataFrame:
     """(window, feature, psi, drift_verdict): every window against one reference bin table (feature, bin, n)."""
-    return psi_from_counts(bin_counts(df, features, edges, [window_col]), window_col, edges, reference_counts)
+    long = df.select(window_col, *[F.col(f"`{c}`").cast("double").alias(c) for c in features]).unpivot(
+        window_col, [f"`{c}`" for c in features], "feature", "x"
+    )
+    return psi_from_counts(bin_counts_long(long, edges, [window_col]), window_col, edges, reference_counts)
 
 
 def psi_from_counts(counts: DataFrame, window_col: str, edges: Edges, reference_counts: DataFrame) -> DataFrame:
+    """(window, feature, psi, drift_verdict) for every (window, feature) of ``counts``.
+
+    ``counts`` has the values outside the reference range under a NULL bin: they are in no share, but a window of nothing else has its full
+    PSI.  Features without values in the reference have NULL; a constant one has no bins and NULL too.
+    """
     spark = counts.sparkSession
     grid = edges_frame(spark, edges).where(F.size("edges") > 1).select(
         "feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")
@@ -189,11 +200,16 @@ def psi_from_counts(counts: DataFrame, window_col: str, edges: Edges, reference_
     )
     ref_t = ref.groupBy("feature").agg(F.sum("ref_n").alias("ref_t"))
     # the grid is windows x features x bins: counts are complete per (window, feature), empty bins are added
-    windows = counts.groupBy(window_col, "feature").agg(F.sum("n").alias("cmp_t"))
-    full = windows.join(ref, "feature").join(ref_t, "feature").join(counts, [window_col, "feature", "bin"], "left")
+    inside = F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)
+    windows = counts.groupBy(window_col, "feature").agg(F.sum(inside).alias("cmp_t"))
+    full = windows.join(ref, "feature", "left").join(ref_t.where("ref_t > 0"), "feature", "left").join(
+        counts, [window_col, "feature", "bin"], "left"
+    )
     r = F.col("ref_n") / F.greatest("ref_t", F.lit(1))
     c = F.coalesce("n", F.lit(0)) / F.greatest("cmp_t", F.lit(1))
-    part = (r - c) * F.ln(F.greatest(r, F.lit(K.PSI_FLOOR)) / F.greatest(c, F.lit(K.PSI_FLOOR)))
+    part = F.when(
+        F.col("ref_t").isNotNull(), (r - c) * F.ln(F.greatest(r, F.lit(K.PSI_FLOOR)) / F.greatest(c, F.lit(K.PSI_FLOOR)))
+    )
     out = full.groupBy(window_col, "feature").agg(F.sum(part).alias("psi"))
     return out.withColumn("drift_verdict", drift_verdict("psi"))
 

@@ -30,12 +30,13 @@ def windowed_bin_counts(
 ) -> DataFrame:
     """(window_start, feature, bin, n): state is windows x features x bins counters, whatever the traffic.
 
-    The edges are a broadcast table with one row per feature.
+    The edges are a broadcast table with one row per feature.  Values outside them, and those of features without edges, are counted
+    under a NULL bin.
     """
     table = edges_frame(events.sparkSession, edges)
     binned = events.withWatermark(ts, watermark).where(F.col(value).isNotNull()).join(table.withColumnRenamed("feature", "_f"),
-                                                                                        F.col(feature) == F.col("_f"))
-    binned = binned.withColumn("bin", bin_index(F.col(value), F.col("edges"), closed="left")).where("bin IS NOT NULL")
+                                                                                        F.col(feature) == F.col("_f"), "left")
+    binned = binned.withColumn("bin", bin_index(F.col(value), F.col("edges"), closed="left"))
     w = F.window(ts, window, startTime=start_offset)
     return binned.groupBy(w.alias("w"), F.col(feature).alias("feature"), "bin").agg(F.count("*").alias("n")).select(
         F.col("w.start").alias("window_start"), "feature", "bin", "n"

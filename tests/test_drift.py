@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -83,3 +84,18 @@ def test_verdict(spark, psi, verdict):
     from lendspark.functions import drift_verdict
 
     assert spark.range(1).select(drift_verdict(F.lit(psi)).alias("v")).first().v == verdict
+
+
+def test_windows_of_new_features_and_outside_values(spark):
+    rows = [("w0", "a", float(i % 10)) for i in range(100)] + [("w1", "a", 99.0)] * 5 + [("w1", "new", 1.0), ("w2", "a", 3.0), ("w2", "a", -7.0)]
+    long = spark.createDataFrame([*rows, ("w2", "a", None), ("w3", "gone", None)], "week string, feature string, x double")
+    edges = {"a": [0.0, 5.0, 9.0]}
+    ref = D.bin_counts_long(long.where("week = 'w0'"), edges)
+    counts = D.bin_counts_long(long, edges, ["week"])
+    got = {(r.week, r.feature): r for r in D.psi_from_counts(counts, "week", edges, ref).collect()}
+    assert set(got) == {("w0", "a"), ("w1", "a"), ("w1", "new"), ("w2", "a")}
+    assert got["w0", "a"].psi == 0 and got["w2", "a"].drift_verdict == "major_drift"
+    assert got["w1", "new"].psi is None and got["w1", "new"].drift_verdict is None
+    assert got["w1", "a"].psi == pytest.approx(2 * 0.5 * math.log(0.5 / 1e-6)) and got["w1", "a"].drift_verdict == "major_drift"
+    wide = spark.createDataFrame([("w1", 99.0)], "week string, a double")
+    assert D.psi_by_window(wide, ["a"], "week", edges, ref).first().drift_verdict == "major_drift"

@@ -67,3 +67,13 @@ def test_sliding_windows(spark):
     df = spark.createDataFrame(_week(0), SCHEMA).withColumn("TARGET", F.lit(1))
     slid = jobs.windowed_rates(df, "feature", window="7 days", slide="1 day", min_n=1)
     assert slid.select("window_start").distinct().count() > 7
+
+
+def test_windowed_counts_keep_new_features_and_outside_values(spark, tmp_path):
+    rows = [(START, "a", 1.0), (START, "a", 50.0), (START, "new", 1.0), (START, "a", None)]
+    _write(spark, rows, str(tmp_path / "in"))
+    events = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    q = jobs.windowed_bin_counts(events, {"a": [0.0, 5.0]}).writeStream.outputMode("complete").format("memory").queryName("kept_counts").trigger(
+        availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.awaitTermination(120)
+    assert {(r.feature, r.bin, r.n) for r in spark.table("kept_counts").collect()} == {("a", 0, 1), ("a", None, 1), ("new", None, 1)}
