@@ -1,8 +1,8 @@
 """URL filter: explicit rules, then path templates judged by labelled purity.  DataFrame operations only.
 
-The templates of a host form a tree over path segments.  Level by level, a segment value stays a branch of its own if it is frequent
-below its parent; all other values (ids, slugs) share the wildcard branch ``*``.  A frequent branch whose labelled share of good pages
-does not differ from its siblings' by more than chance is merged into the wildcard too.  A template is rejected if its
+The templates of a host form a tree over path segments.  Level by level, a segment value stays a branch of its own if it has a few
+pages and its labelled share of good pages differs from its siblings' by more than chance; all other values (ids, slugs) share the
+wildcard branch ``*``.  Levels end where no branch below can differ.  A template is rejected if its
 smoothed share of good labelled pages is low; the smoothing leads to the host's share, and that to the share of all pages.
 """
 
@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-LEVELS = 3  # segments that the tree tells apart; deeper ones belong to their ancestor's template
+LEVELS = 3  # segments that the SQL tells apart and that a template always names; deeper ones are named up to the last branch of its own
 MIN_PAGES = 5  # a branch of its own has at least so many pages
-MIN_SHARE = 0.05  # ... and this share of its parent's, so a node has 20 such branches at most
+MIN_SHARE = 0.05  # ... and in the SQL this share of its parent's
 DIFFERENT = 1.96  # standard errors between a branch and its siblings, from which they stay apart
 STRENGTH = 10.0  # labelled pages that the smoothing counts for
 REJECT_BELOW = 0.5
@@ -40,29 +40,53 @@ def fitting_rule(host: Column, path: Column, rules: list[str]) -> Column:
     return out
 
 
+def _branches(at: DataFrame, level: int) -> DataFrame:
+    """``at`` with ``template`` longer by the segment of the level, and ``own``: whether that is a branch of its own."""
+    at = at.withColumn("segment", F.get("segments", F.lit(level)))
+    branch = at.where("segment is not null").groupBy("host", "template", "segment").agg(
+        F.count("*").alias("n"), F.count("good").alias("k"), F.coalesce(F.sum("good"), F.lit(0)).alias("g"))
+    parent = branch.groupBy("host", "template").agg(F.sum("k").alias("pk"), F.sum("g").alias("pg"))
+    pooled = F.col("pg") / F.col("pk")
+    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("k") + 1 / (F.col("pk") - F.col("k"))))
+    apart = F.abs(F.col("g") / F.col("k") - (F.col("pg") - F.col("g")) / (F.col("pk") - F.col("k"))) > DIFFERENT * error
+    own = branch.join(parent, ["host", "template"]).where(
+        (F.col("n") >= MIN_PAGES) & (F.col("k") > 0) & (F.col("pk") > F.col("k")) & apart
+    ).select("host", "template", "segment", F.lit(True).alias("own"))
+    at = at.join(own, ["host", "template", "segment"], "left")
+    step = F.when(F.col("segment").isNull(), F.lit("")).when(F.col("own"), F.concat(F.lit("/"), "segment")).otherwise(F.lit("/*"))
+    return at.withColumn("template", F.concat("template", step)).drop("segment")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """``pages`` (host, path, good: 1 / 0 / null, and others) with its ``template``.
 
     Each level is a grouped count and a join back on the branch: counts are summed before they move, and a hot host's pages are
-    split by adaptive skew handling, as the small side of the join has one row a branch.
+    split by adaptive skew handling, as the small side of the join has one row a branch.  Below the first LEVELS only pages go on whose
+    branch has further segments and labels of both kinds, as no other can split; a template then ends with its last branch of its own.
     """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     at = pages.withColumn("segments", segments).withColumn("template", F.lit(""))
     for level in range(LEVELS):
-        at = at.withColumn("segment", F.get("segments", F.lit(level)))
-        branch = at.where("segment is not null").groupBy("host", "template", "segment").agg(
-            F.count("*").alias("n"), F.count("good").alias("k"), F.coalesce(F.sum("good"), F.lit(0)).alias("g"))
-        parent = branch.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.sum("k").alias("pk"), F.sum("g").alias("pg"))
-        pooled = F.col("pg") / F.col("pk")
-        error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("k") + 1 / (F.col("pk") - F.col("k"))))
-        apart = F.abs(F.col("g") / F.col("k") - (F.col("pg") - F.col("g")) / (F.col("pk") - F.col("k"))) > DIFFERENT * error
-        own = branch.join(parent, ["host", "template"]).where(
-            (F.col("n") >= MIN_PAGES) & (F.col("n") >= MIN_SHARE * F.col("pn")) & (F.col("k") > 0) & (F.col("pk") > F.col("k")) & apart
-        ).select("host", "template", "segment", F.lit(True).alias("own"))
-        at = at.join(own, ["host", "template", "segment"], "left")
-        step = F.when(F.col("segment").isNull(), F.lit("")).when(F.col("own"), F.concat(F.lit("/"), "segment")).otherwise(F.lit("/*"))
-        at = at.withColumn("template", F.concat("template", step)).drop("segment", "own")
-    return at.drop("segments")
+        at = _branches(at, level).drop("own")
+    at, level = save(at.withColumn("named", F.col("template"))), LEVELS
+    done = []
+    while True:
+        mixed = at.where(F.size("segments") > level).groupBy("host", "template").agg(
+            F.count("*").alias("n"), F.count("good").alias("k"), F.sum("good").alias("g"))
+        mixed = save(mixed.where((F.col("n") > MIN_PAGES) & (F.col("g") > 0) & (F.col("g") < F.col("k"))).select("host", "template", F.lit(True).alias("mixed")))
+        if mixed.isEmpty():
+            done.append(at)
+            break
+        on = (F.size("segments") > level) & F.col("mixed").isNotNull()
+        at = save(at.join(mixed, ["host", "template"], "left").withColumn("on", F.coalesce(on, F.lit(False))).drop("mixed"))
+        done.append(at.where("not on").drop("on"))
+        deeper = _branches(at.where("on").drop("on"), level)
+        at = save(deeper.withColumn("named", F.when(F.col("own"), F.col("template")).otherwise(F.col("named"))).drop("own"))
+        level += 1
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out.withColumn("template", F.col("named")).drop("segments", "named")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], page: str = "page_id", url: str = "url") -> DataFrame:
@@ -95,7 +119,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], page: str
 
 
 def judge_sql(rules: dict[str, str]) -> str:
-    """The same judgement in SQL, over ``pages`` and ``labels``, with good = quality 1 and toxic 0."""
+    """The judgement in SQL, over ``pages`` and ``labels``, with good = quality 1 and toxic 0.
+
+    It is the same where no branch of its own is rarer than MIN_SHARE of its parent or deeper than LEVELS segments.
+    """
     case = "NULL"
     for rule in sorted(rules, key=lambda r: (len(r), r)):
         domain, slash, tail = rule.partition("/")

@@ -135,6 +135,19 @@ def test_url_templates_reject_by_purity(spark):
     assert {r.template for r in alike.values()} == {"/*/*"}  # statistically similar branches are one
 
 
+def test_small_and_deep_url_sections_are_told_apart(spark):
+    urls = [f"http://a.org/s{k % 60}/{k}" for k in range(3000)]  # 60 sections of less than 2 %
+    urls += [f"http://b.org/x/y/z/{'bad' if k % 30 == 0 else 'fine'}/{k}" for k in range(3000, 6000)]
+    urls += [f"http://c.org/x/y/z/v/{k}/{'bad' if k % 2 else 'fine'}/{k}" for k in range(6000, 6100)]
+    bad = [k < 3000 and k % 60 == 7 or 3000 <= k < 6000 and k % 30 == 0 or k >= 6000 and k % 2 for k in range(6100)]
+    got = judged(spark, urls, [(k, int(not b)) for k, b in enumerate(bad)])
+    assert len(got) == 6100 and [got[k].verdict for k in range(6100)] == ["block" if b else "allow" for b in bad]
+    assert got[7].template == "/s7/*" and got[8].template == "/*/*"
+    assert got[3000].template == "/*/*/*/bad" and got[6001].template == "/*/*/*/*/*/bad"
+    plain = judged(spark, urls[3000:], [(k, 1) for k in range(6100)])
+    assert {r.template for r in plain.values()} == {"/*/*/*"}
+
+
 def test_url_filter_is_native(spark, sf):
     plan = corpus.QUERIES["op6_url_filter"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "html" not in plan.split("== Physical Plan ==")[1]
