@@ -174,3 +174,18 @@ def test_pipeline_on_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         step = stage(spark, step, sf)
     assert step.count() == 0
+
+
+def test_descents_go_on_and_cells_follow_the_rows(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.float32(rng.normal(size=(3000, 12)))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vectors = spark.createDataFrame([(k, [float(v) for v in row]) for k, row in enumerate(x)], "id long, vec array<double>").persist()
+    monkeypatch.setattr(ann, "CELLS", 2)
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    centres = ann.fit(vectors, 2)
+    assert sum(map(len, ann._fine(vectors, centres, 3000))) > 40  # about 3000 / 32
+    near = {r.v: {e.u for e in r.near} for r in ann.build(vectors, centres, 3000).collect()}
+    s = np.float64(x) @ np.float64(x).T
+    np.fill_diagonal(s, -1)
+    assert np.mean([len(near[v] & set(np.argsort(-s[v])[:ann.K].tolist())) / ann.K for v in range(3000)]) >= 0.9
