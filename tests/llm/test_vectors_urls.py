@@ -94,6 +94,44 @@ def test_search_recall_and_odd_rows(spark, monkeypatch):
     assert set(by) == {i for i in ids if i % 20 == 0}
 
 
+def recall(spark, rows, step):
+    """Share of the nearest ids found, by id, against brute force."""
+    df = frame(spark, rows)
+    by = {}
+    for r in ann.search(df, df.where(f"vec_id % {step} = 0").selectExpr("vec_id AS query_id", "embedding AS query"), k=20).collect():
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    ids, x = np.array([i for i, _, _ in rows]), np.array([v for _, v, _ in rows], dtype=np.float32).astype(np.float64)
+    hits = []
+    for q in np.flatnonzero(ids % step == 0):
+        order = [k for k in np.lexsort((ids, -np.round(x @ x[q], 12))) if k != q][:20]
+        hits.append(len(by.get(int(ids[q]), set()) & set(ids[order].tolist())) / 20)
+    return float(np.mean(hits))
+
+
+def test_search_finds_tight_groups_and_copies(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for size in [30] * 30 + [60] * 15 + [700]:
+        base = rng.normal(size=24)
+        x = base / np.linalg.norm(base) + rng.normal(size=(size, 24)) * 1e-3
+        rows += [[float(v) for v in np.float32(row / np.linalg.norm(row))] for row in x]
+    for size in (40, 600):
+        base = rng.normal(size=24)
+        rows += [[float(v) for v in np.float32(base / np.linalg.norm(base))]] * size
+    rows = [(int(i), v, 0) for i, v in zip(rng.permutation(len(rows)), rows)]
+    monkeypatch.setattr(ann, "TOP", 40)  # leads of leads
+    monkeypatch.setattr(ann, "CELLS", 4)  # cells below cells
+    monkeypatch.setattr(ann, "BLOCK", 128)
+    assert recall(spark, rows, 15) >= 0.95
+
+
+def test_search_answers_within_each_length(spark):
+    rows = [(k, [1.0, float(k)], 0) for k in range(30)] + [(100 + k, [1.0, 0.5, float(k)], 0) for k in range(4)]
+    df = frame(spark, rows)
+    got = ann.search(df, df.where("vec_id in (0, 100)").selectExpr("vec_id AS query_id", "embedding AS query"), k=3).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (100, 1, 101), (100, 2, 102), (100, 3, 103)]
+
+
 def test_search_small_tables(spark):
     few = frame(spark, [(0, [1.0, 2.0], 0), (1, [2.0, 2.0], 0), (20, [0.5, 0.1], 0)])
     asked = few.where("vec_id % 20 = 0").selectExpr("vec_id AS query_id", "embedding AS query")
@@ -174,6 +212,9 @@ def test_pipeline_on_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         step = stage(spark, step, sf)
     assert step.count() == 0
+    for _, stage in corpus_pipeline.STAGES:
+        step = stage(spark, step, sf)
+    assert step.count() == 0
 
 
 def test_descents_go_on_and_cells_follow_the_rows(spark, monkeypatch):
