@@ -201,3 +201,27 @@ z AS (SELECT doc_id, coalesce(len(gone), 0)::INT AS n_cut, CASE WHEN gone IS NUL
 SELECT doc_id, n_cut, strlen(u)::BIGINT AS n_bytes_left, md5(u) AS text_md5
 FROM (SELECT *, CASE WHEN n_cut > 0 AND NOT regexp_matches(t, '[^\\x20\\x09-\\x0D]') THEN '' ELSE t END AS u FROM z)
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    from .hardneg import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT::HUGEINT) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER w)::INT AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
