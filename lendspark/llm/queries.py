@@ -225,3 +225,52 @@ FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <=
 WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
 QUALIFY row_number() OVER w <= 5
 """
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from .substrings import remove_repeats
+
+    done = remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op12_substring_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+o AS (SELECT r, doc_id, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50 AND doc_id IS NOT NULL),
+g AS (SELECT o.r, o.doc_id, p, array_to_string(w[p:p + 49], ' ') AS g FROM o JOIN d USING (r)),
+m AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g HAVING low < max(doc_id)),
+x AS (SELECT DISTINCT r, unnest(range(p, p + 50)) AS k FROM g JOIN m USING (g) WHERE doc_id > low),
+c AS (SELECT r, list(k) AS gone, count(*) AS n FROM x GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string(list_filter(w, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN c USING (r)
+"""
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    from .prefixtrie import rebuilt, trie
+
+    return trie(rebuilt(table(spark, sf, "conversations")))
+
+
+# crc32 by its bits: a byte is mixed in at every eighth step
+ORACLES["op11_prefix_trie"] = """
+WITH t AS (SELECT conv_id, turn, length(coalesce(text, ''))::BIGINT AS n,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'id': id, 'n': n} ORDER BY turn NULLS FIRST, id) AS turns,
+    (xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, v: xor(xor(c, v) >> 1, 3988292384 * (xor(c, v) & 1))), 4294967295) % 6)::BIGINT AS h FROM t GROUP BY conv_id),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:o.h], o.turns[o.h + 1:]) AS turns FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 100),
+u AS (SELECT conv_id, list_transform(turns, lambda x: x.id) AS ids, turns, len(turns) AS total FROM r),
+e AS (SELECT conv_id, ids, total, turns, unnest(range(0, total + 1)) AS d FROM u),
+n AS (SELECT ids[1:d] AS p, d, count(*) AS n_convs, min(conv_id) AS conv_id, any_value(CASE WHEN d > 0 THEN turns[d].n ELSE 0 END) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = total), '')) AS ends_sha256 FROM e GROUP BY ALL),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (p)),
+a AS (SELECT p, n_convs, chars, n_children, unnest(range(0, d + 1)) AS upto FROM x),
+s AS (SELECT p[1:upto] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens FROM a GROUP BY ALL)
+SELECT x.conv_id, x.d AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens, x.ends_sha256
+FROM x JOIN s USING (p) LEFT JOIN x y ON x.d > 0 AND y.d = x.d - 1 AND y.p = x.p[1:x.d - 1]
+"""
