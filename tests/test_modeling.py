@@ -207,7 +207,9 @@ def test_risk_falls_with_the_external_rating(spark):
     assert scored.select(F.corr("probability_of_default", "e")).first()[0] < -0.5
     what = R.sensitivity(forms.where("SK_ID_CURR = 7"), spec, model.pipeline, "SK_ID_CURR").collect()
     moved = {(r.field, r.direction): r for r in what}
-    assert len(moved) == 14  # years employed are 0 for this applicant
+    assert len(moved) == 16
+    still = [r for r in what if r.base_value == 0]  # years employed are 0 for this applicant: nothing to move
+    assert len(still) == 2 and all(r.probability_of_default is None and r.recommendation is None for r in still)
     assert moved["AGE_YEARS", "-10%"].new_value == 36.0 and moved["AMT_CREDIT", "+10%"].new_value == pytest.approx(330000)
     assert moved["EXT_SOURCE_2", "+10%"].probability_of_default < moved["EXT_SOURCE_2", "-10%"].probability_of_default
 
