@@ -64,18 +64,21 @@ def map_texts(df: DataFrame, text: str, fields: str, make: Callable[[], Callable
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *new]))
 
 
-def bounded_sample(df: DataFrame, group: str, key: str, bound: int) -> DataFrame:
-    """About ``bound`` rows of each group, the same in every run: those whose hashed ``key`` lies below the group's share.
+def bounded_sample(df: DataFrame, group: str, key: str | list[str], bound: int) -> DataFrame:
+    """About ``bound`` rows of each group, the same in every run: those whose hashed ``key`` columns lie below the group's share.
 
-    The share aims at 95 % of the bound, which chance then hardly passes; groups within the bound are whole.  One count per group (a
-    label or language, so few), no sort, and no group meets in a task.
+    Rows that agree in group and key are one row.  The share aims at 95 % of the bound, which chance then hardly passes; groups within
+    the bound are whole.  A null in a key is a value like others, so name columns that tell rows apart even where an id is null.  One
+    count per group (a label or language, so few), no sort, and no group meets in a task.
     """
-    place = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 52))
+    keys = [key] if isinstance(key, str) else key
+    h = F.xxhash64(*keys, F.lit(17))
+    place = F.pmod(h, F.lit(1 << 52))
     keep = F.lit(False)
-    for g, n in df.groupBy(F.col(group).alias("g")).count().collect():
+    for g, n in df.groupBy(F.col(group).alias("g")).agg(F.count_distinct(h)).collect():
         own = F.col(group).eqNullSafe(F.lit(g))
         keep = keep | (own if n <= bound else own & (place < int(0.95 * bound / n * (1 << 52))))
-    return df.where(keep)
+    return df.where(keep).dropDuplicates([group, *keys])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

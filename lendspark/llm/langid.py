@@ -113,13 +113,15 @@ class Scorer:
 
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_language: int = 600) -> Model:
-    """Context trees from at most ``rows_per_language`` rows of each language, chosen by hash; the same rows in every run.
+    """Context trees from at most ``rows_per_language`` rows of each language, chosen by hash of key and text; the same rows in every run.
+
+    Rows repeated in full are learnt once, rows with a null key like others.
 
     That documented bound on rows bounds the model: only contexts seen twice or more are kept beyond order 1.  Rows with a null
     language or text are not learnt from.  Counting is distributed; the driver holds the finished trees.
     """
     own = df.select(F.col(key).alias("k"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    sample = bounded_sample(own.where("lang is not null and text is not null"), "lang", "k", rows_per_language)
+    sample = bounded_sample(own.where("lang is not null and text is not null"), "lang", ["k", "text"], rows_per_language)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -69,12 +69,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     """2^BITS + 1 weights, fitted on at most ``max_rows`` labelled rows, chosen by hash: the documented bound of the fit.
 
     ``labels``: key and label (1 good, 0 bad; others and nulls are not learnt from).  The chosen labels are broadcast, their number
-    being bounded, so texts are not shuffled before the choice.  Without any usable label all weights are 0 and every score 0.5.
+    being bounded, so texts are not shuffled before the choice.  Documents repeated in full are learnt once; where keys repeat with
+    other texts, the bound is applied to the documents again.  Without any usable label all weights are 0 and every score 0.5.
     """
     known = labels.select(F.col(key).alias("k"), F.col("label").cast("int").alias("label")).where("k is not null and label in (0, 1)")
     known = known.groupBy("k").agg(F.min("label").alias("label"))
     chosen = bounded_sample(known.withColumn("all", F.lit(0)), "all", "k", max_rows).drop("all")
     rows = docs.select(F.col(key).alias("k"), empty_text(text).alias("text")).join(F.broadcast(chosen), "k")
+    rows = bounded_sample(rows.withColumn("all", F.lit(0)), "all", ["k", "text"], max_rows).drop("all")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("k", F.lit(5)), F.lit(SHARDS)))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -127,11 +127,12 @@ def _candidates(df: DataFrame, length: int, text: str, key: str) -> tuple[DataFr
     """The texts (key, th, text), those that go whole (key, th), and the marks of the others that several keys have (key, th, marks)."""
     own = _own(df, text, key)
     profile = save(_profile(own, length))
-    lead = profile.groupBy("whole").agg(F.min("key").alias("lead"))
+    lead = save(profile.groupBy("whole").agg(F.min("key").alias("lead")))
     profile = save(profile.join(lead, "whole").select("key", "th", "marks", (F.col("key") > F.col("lead")).alias("copy")))
     marks = profile.where("not copy").select("key", "th", F.explode("marks").alias("mark"))
     # sums before the shuffle: a mark that all texts share is one row a task
     shared = marks.groupBy("mark").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("mark")
+    shared = save(shared)  # a table, not an aggregate in place, so that a join on it can be split where a key is hot
     asked = marks.join(shared, "mark").groupBy("key", "th").agg(F.collect_set("mark").alias("marks"))
     return own, profile.where("copy").select("key", "th").distinct(), asked
 
@@ -161,7 +162,7 @@ def _shared(own: DataFrame, asked: DataFrame, length: int, by: str) -> DataFrame
     windows = save(windows.where("size(p) > 0").select("key", "th", "p", "a", "b"))
     one = windows.select("key", "th", F.explode(F.arrays_zip("p", "a", "b")).alias("w")).select("key", "th", "w.*")
     first = one.groupBy("a", "b").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high").select("a", "b", "low")
-    found = one.join(first, ["a", "b"]).groupBy("key", "th").agg(
+    found = one.join(save(first), ["a", "b"]).groupBy("key", "th").agg(
         F.array_sort(F.collect_set("p")).alias("starts"), F.array_sort(F.collect_set(F.when(F.col("key") > F.col("low"), F.col("p")))).alias("later"))
     return save(found)
 

@@ -1,6 +1,7 @@
 """Corpus operators over texts against libraries, brute force and held-out rows; odd rows in every column."""
 
 import hashlib
+import math
 import os
 import random
 import zlib
@@ -11,9 +12,11 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from lendspark.llm import bpe, langid, linededup, minhash, mixing, quality, tokencount
 from lendspark.llm import queries as corpus
+from lendspark.llm.common import bounded_sample
 
 BPE = P.path("byte_bpe_multi_50k.tiktoken")
 PIECES = P.path("piece_bpe_32k.model")
@@ -310,3 +313,56 @@ def test_matches_sql(spark, sf, name):
     order = sorted(cols)
     assert sorted((tuple(r[c] for c in order) for r in got.collect()), key=str) == sorted(
         (tuple(r[cols.index(c)] for c in order) for r in cur.fetchall()), key=str)
+
+
+@pytest.mark.parametrize("ids", ["null", "one", "repeated"])
+def test_fits_hold_their_bound_whatever_the_ids(spark, sf, ids):
+    """All ids null, one id for all, and rows repeated in full: languages are learnt from a bounded sample and no document is lost."""
+    docs = table(spark, sf, "documents").where("lang is not null and length(text) > 40").select("doc_id", "lang", "text").limit(150)
+    if ids == "null":
+        docs = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    elif ids == "one":
+        docs = docs.withColumn("doc_id", F.lit(7).cast("long"))
+    else:
+        docs = docs.crossJoin(spark.range(20)).drop("id")
+    docs = docs.persist()
+    n, texts = docs.count(), docs.select("doc_id", "text", "lang").distinct().count()
+    sample = bounded_sample(docs, "lang", ["doc_id", "text"], 12)
+    sizes = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert set(sizes) == {r.lang for r in docs.select("lang").distinct().collect()} and max(sizes.values()) <= 18 and min(sizes.values()) > 0
+    assert bounded_sample(docs.withColumn("all", F.lit(0)), "all", ["doc_id", "text", "lang"], 1000).count() == texts
+    done = langid.identify(docs, langid.train(docs, rows_per_language=12))
+    assert done.where("rejected").count() == 0 and done.where("language = lang").count() > 0.9 * n
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, label int")
+    weights = quality.train(docs, labels, max_rows=30)
+    assert weights.any() == (ids == "one" or docs.where("doc_id = 7").count() > 0)
+
+
+def test_leader_follows_its_rule():
+    """The learner against its update rule written out coordinate by coordinate, and sparse scores against dense products."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("alpha beta gamma delta epsilon zeta".split()) for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    own = quality.Features()
+    examples = [(*own.of(t), rng.randint(0, 1)) for t in texts]
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+
+    for at, value, label in examples * quality.EPOCHS:
+        w = {int(i): weight(int(i)) for i in at}
+        dot = sum(w[int(i)] * float(v) for i, v in zip(at, value))
+        p = 1 / (1 + math.exp(-dot))
+        for i, v in zip(map(int, at), map(float, value)):
+            g = (p - label) * v
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * w[i]
+            n[i] += g * g
+    got = quality.fit(examples)
+    assert set(np.flatnonzero(got)) <= set(n)
+    assert all(abs(got[i] - weight(i)) < 1e-12 for i in n)
+    for at, value, _ in examples:
+        dense = np.zeros(len(got))
+        np.add.at(dense, at, value)
+        assert abs(float(value @ got[at]) - float(dense @ got)) < 1e-9

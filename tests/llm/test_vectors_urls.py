@@ -212,9 +212,6 @@ def test_pipeline_on_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         step = stage(spark, step, sf)
     assert step.count() == 0
-    for _, stage in corpus_pipeline.STAGES:
-        step = stage(spark, step, sf)
-    assert step.count() == 0
 
 
 def test_descents_go_on_and_cells_follow_the_rows(spark, monkeypatch):
