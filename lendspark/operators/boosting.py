@@ -22,11 +22,11 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..session import materialize
-from .quantiles import exact_quantiles
 
 BINS = 255  # codes of values; code 255 is a missing value
 MISSING = 255
 BLOCK_ROWS = 8192
+ACCURACY = 10_000
 REFRESH = 10  # trees between two written tables of margins
 LOCAL_BYTES = 8_000_000  # packed blocks up to so many bytes are kept by the driver, which then runs the tasks' functions itself; sums are the same
 FAN_IN = 32  # partial sums that one task, or the driver, adds up
@@ -37,17 +37,14 @@ _NODE = [("feature", np.int32), ("cut", np.float64), ("bin", np.int32), ("null_l
 
 
 def fit_cuts(df: DataFrame, features: Sequence[str], bins: int = BINS) -> dict[str, np.ndarray]:
-    """Upper bounds of the bins of each feature, ascending and distinct: quantiles, or all values where there are few."""
-    levels = df.agg(*[F.approx_count_distinct(F.col(f"`{f}`")).alias(f"d{i}") for i, f in enumerate(features)]).first()
-    few = [f for i, f in enumerate(features) if levels[i] <= bins // 2]
-    found = {}
-    if few:  # collect_set is bounded: the sketch says so, and a set beyond the bins is cut into quantiles below
-        sets = df.agg(*[F.collect_set(F.col(f"`{f}`").cast("double")).alias(f"s{i}") for i, f in enumerate(few)]).first()
-        found = {f: np.unique(np.array(s, dtype=np.float64)) for f, s in zip(few, sets) if len(s) <= bins}
-    rest = [f for f in features if f not in found]
-    if rest:
-        q = exact_quantiles(df, rest, [k / bins for k in range(1, bins)])
-        found |= {f: np.unique(np.array(q.get(f, []), dtype=np.float64)) for f in rest}
+    """Upper bounds of the bins of each feature, ascending and distinct: quantiles of one sketch a feature, exact up to ACCURACY values.
+
+    Only where bins end depends on the sketch; sums over them are exact.
+    """
+    probs = F.array(*[F.lit(k / bins) for k in range(1, bins)])
+    values = {f: F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None).cast("double")) for f in features}
+    row = df.agg(*[F.percentile_approx(v, probs, ACCURACY).alias(f"q{i}") for i, v in enumerate(values.values())]).first()
+    found = {f: np.unique(np.array(row[i] or [], dtype=np.float64)) for i, f in enumerate(features)}
     return {f: c[np.isfinite(c)] for f, c in found.items()}
 
 

@@ -214,6 +214,33 @@ def psi_from_counts(counts: DataFrame, window_col: str, edges: Edges, reference_
     return out.withColumn("drift_verdict", drift_verdict("psi"))
 
 
+def psi_of_counts(before, now) -> Column:
+    """PSI of two arrays of bin counts of one length; NULL if either has no rows."""
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, n: s + n)
+    floor = F.lit(K.PSI_FLOOR)
+
+    def part(p: Column, q: Column) -> Column:
+        r, c = p / F.nullif(total(before), F.lit(0)), q / F.nullif(total(now), F.lit(0))
+        return (r - c) * F.ln(F.greatest(r, floor) / F.greatest(c, floor))
+
+    return F.aggregate(F.zip_with(before, now, part), F.lit(0.0), lambda s, x: s + x)
+
+
+def psi_between_windows(counts: DataFrame, window_col: str, edges: Edges) -> DataFrame:
+    """(window, feature, previous, n, psi, drift_verdict): each window of ``counts`` (window, feature, bin, n) against the last one before it.
+
+    Windows and features without values inside the edges are no window: the next one is compared with the last that had any.  A feature's
+    first window has NULL.  State per feature is one row a window.
+    """
+    bins = edges_frame(counts.sparkSession, edges).select("feature", (F.size("edges") - 1).alias("bins")).where("bins > 0")
+    inside = counts.where("bin IS NOT NULL").groupBy(window_col, "feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("at"))
+    wide = inside.join(bins, "feature").withColumn("c", F.transform(F.sequence(F.lit(0), F.col("bins") - 1), lambda b: F.coalesce(F.element_at("at", b), F.lit(0).cast("long"))))
+    order = Window.partitionBy("feature").orderBy(window_col)
+    steps = wide.withColumns({"previous": F.lag(window_col).over(order), "before": F.lag("c").over(order)})
+    out = steps.select(window_col, "feature", "previous", F.aggregate("c", F.lit(0).cast("long"), lambda s, n: s + n).alias("n"), psi_of_counts(F.col("before"), F.col("c")).alias("psi"))
+    return out.withColumn("drift_verdict", drift_verdict("psi"))
+
+
 def drift_alert(psi: DataFrame, window_col: str, at_least: int = 3) -> DataFrame:
     """Windows in which enough features drifted strongly."""
     return psi.groupBy(window_col).agg(F.count_if(F.col("drift_verdict") == "major_drift").alias("n_major")).where(

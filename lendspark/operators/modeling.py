@@ -21,14 +21,17 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..session import shared_dir
+from ..session import materialize, shared_dir
+from .boosting import BoostedTrees, train_boosted_grid
 from .metrics import areas, choose_threshold, confusion_metrics
+from .network import train_network
+from .newton import Design, fit_logistics, fold_aucs
 from .scaling import ModelInputSpec, fit_model_input
-from .splitting import fit_stratified_kfold, only
+from .splitting import only
 
 FEATURES_COL, WEIGHT_COL = "features", "_weight"
 
@@ -268,44 +271,81 @@ def score_all(models: Sequence[FittedModel], df: DataFrame, keys: Sequence[str]
 
 def cross_validated_auc(
     df: DataFrame, feature_sets: dict[str, Sequence[str]], k: int = 5, id_col: str = K.ID, target: str = K.TARGET,
-    seed: int = K.SEED, parallelism: int = 4, **options,
+    seed: int = K.SEED, C: float = 1.0, imbalance: str = "none",
 ) -> DataFrame:
-    """(feature_set, fold, roc_auc): medians, scaling and model fitted on the other folds only.
-
-    Folds are submitted from a few driver threads, so that Spark overlaps their small iterations.
-    """
-    folds = fit_stratified_kfold(df, k, id_col, target, seed).transform(df, "_fold")
-    with held(folds) as fixed, ThreadPool(parallelism) as pool:
-        def one(job: tuple[str, int]) -> tuple[str, int, float]:
-            name, i = job
-            rest, hold_out = fixed.where(F.col("_fold") != str(i)), fixed.where(F.col("_fold") == str(i))
-            model = train_logreg(rest, feature_sets[name], target=target, imbalance="none", **options)
-            return name, i, areas(model.score(hold_out), "score", target=target).first().roc_auc
-
-        rows = pool.map(one, [(name, i) for name in feature_sets for i in range(k)])
-    return df.sparkSession.createDataFrame(rows, "feature_set string, fold int, roc_auc double")
+    """(feature_set, fold, roc_auc): medians, scaling and logistic model fitted on the other folds only, all of them in the same scans."""
+    return fold_aucs(df, feature_sets, k, id_col, target, seed, C, imbalance)
 
 
 def logit_hypotheses(df: DataFrame, designs: dict[str, Sequence[str]], target: str = K.TARGET) -> DataFrame:
-    """(model, term, coefficient, roc_auc): in-sample logistic fits on complete rows, one per design."""
-    rows = []
-    for name, terms in designs.items():
-        complete = df.select(target, *terms).dropna()
-        assembled = VectorAssembler(inputCols=list(terms), outputCol=FEATURES_COL).transform(complete)
-        assembled = assembled.select(FEATURES_COL, F.col(target).cast("double").alias(target))
-        with held(assembled) as fixed:
-            n = fixed.count()
-            lr = LogisticRegression(labelCol=target, maxIter=200, regParam=1.0 / max(n, 1), standardization=False).fit(fixed)
-            scored = lr.transform(fixed).select(target, vector_to_array("probability")[1].alias("score"))
-            auc = areas(scored, "score", target=target).first().roc_auc
-        rows += [(name, t, float(c), auc) for t, c in zip(terms, lr.coefficients, strict=True)]
+    """(model, term, coefficient, roc_auc): in-sample logistic fits on complete rows, all designs in the same scans."""
+    models = fit_logistics(df, [Design(name, tuple(terms), scale=False) for name, terms in designs.items()], target)
+    scores = F.array(*[F.struct(F.lit(m.name).alias("model"), m.probability().alias("score")) for m in models])
+    scored = df.select(target, F.explode(scores).alias("s")).select(target, "s.*").where("score is not null")
+    auc = {r.model: r.roc_auc for r in areas(scored, "score", ["model"], target).collect()}
+    rows = [(m.name, t, float(c), auc.get(m.name)) for m in models for t, c in zip(m.features, m.coefficients, strict=True)]
     return df.sparkSession.createDataFrame(rows, "model string, term string, coefficient double, roc_auc double")
 
 
-def importances(model: FittedModel, out: str) -> DataFrame:
+def tune_all(train: DataFrame, val: DataFrame, features: Sequence[str], id_col: str = K.ID, target: str = K.TARGET, n_trees: int = 300,
+             grids: dict[str, list[dict]] | None = None) -> tuple[list, DataFrame]:
+    """The grids of all families: fitted models and one row a trial, the best of its family and the winner of all marked.
+
+    Logistic penalties share their scans, as do the settings of the boosted trees.  Each trial's threshold is chosen on the validation rows; all
+    trials are scored and measured together.  Best is by validation AUC, then F1.
+    """
+    grids = grids or FAMILY_GRIDS
+    models, rows = [], []
+    for family, grid in grids.items():
+        if family == "logreg":
+            own = fit_logistics(train, [Design(f"C{g['C']}", tuple(features), g["C"], "balanced") for g in grid], target)
+        elif family == "gbt":
+            own = train_boosted_grid(train, features, grid, n_trees, target)
+        elif family == "random_forest":
+            spec = fit_model_input(train, features)
+            own = [train_random_forest(train, features, n_trees=n_trees, target=target, spec=spec, **g) for g in grid]
+        elif family == "mlp":
+            own = [train_network(train, val, features, target=target, id_col=id_col, **g) for g in grid]
+        else:
+            raise ValueError(f"unknown family {family!r}")
+        models += own
+        rows += [(family, i, str(g)) for i, g in enumerate(grid)]
+    report = trial_report(models, val, target)
+    named = train.sparkSession.createDataFrame([(str(k), *r) for k, r in enumerate(rows)], "model string, family string, trial int, setting string")
+    best = lambda by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("roc_auc"), F.desc("f1"), "family", "trial")) == 1
+    # one row a trial
+    return models, named.join(report, "model").drop("model").withColumns({"best": best(["family"]), "winner": best([F.lit(0)])})
+
+
+#: the documented grids
+FAMILY_GRIDS: dict[str, list[dict]] = {
+    "logreg": [{"C": c} for c in (0.1, 1.0, 10.0)],
+    "random_forest": [{"max_depth": d} for d in (8, 12, None)],
+    "gbt": [{"max_depth": d, "learning_rate": r} for d in (4, 6) for r in (0.05, 0.1)],
+    "mlp": [{"hidden": h, "epochs": 12} for h in ((64, 32), (128, 64))],
+}
+
+
+def trial_report(models: Sequence, df: DataFrame, target: str = K.TARGET) -> DataFrame:
+    """(model, areas, chosen threshold and its metrics) of each model, by its position; one scoring and one set of curves for all."""
+    out = df.select(target, *sorted({f for m in models for f in m.features}))
+    for k, m in enumerate(models):
+        out = m.score(out, f"_s{k}")
+    wide = out.select(target, *[F.col(f"_s{k}").alias(str(k)) for k in range(len(models))])
+    scored = materialize(wide.unpivot([target], [str(k) for k in range(len(models))], "model", "score"))
+    t = choose_threshold(scored, "score", ["model"], target).select("model", "threshold")
+    c = confusion_metrics(scored.join(F.broadcast(t), "model"), "score", F.col("threshold"), ["model"], target)  # one row a model
+    a = areas(scored, "score", ["model"], target).select("model", "roc_auc", "pr_auc")
+    return a.join(t, "model").join(c, "model").select("model", "roc_auc", "pr_auc", "threshold", "precision", "recall", "f1", "accuracy")
+
+
+def importances(model: FittedModel | BoostedTrees, out: str) -> DataFrame:
     """(feature, importance) of a tree model; one row per feature."""
-    values = model.classifier.featureImportances.toArray()
-    rows = [(f, float(v)) for f, v in zip(model.features, values, strict=True)]
+    if isinstance(model, BoostedTrees):
+        rows = list(model.importances().items())
+    else:
+        values = model.classifier.featureImportances.toArray()
+        rows = [(f, float(v)) for f, v in zip(model.features, values, strict=True)]
     return SparkSession.getActiveSession().createDataFrame(rows, f"feature string, {out} double")
 
 

@@ -197,13 +197,16 @@ _WEEK = {
     "e": f"""SELECT feature, {S.edge_list('x', 10)} AS edges FROM ev WHERE week = TIMESTAMP '2024-01-01' GROUP BY 1""",
     "counts": f"""SELECT week, feature, bin, count(*) AS n FROM (SELECT week, feature, {S.edge_bin('x', 'edges', 'left')} AS bin
       FROM ev JOIN e USING (feature)) WHERE bin IS NOT NULL GROUP BY ALL""",
-    "grid": """SELECT DISTINCT c.week, feature, unnest(range(len(edges) - 1)) AS bin FROM e JOIN counts c USING (feature)""",
+    "win": "SELECT DISTINCT week, feature FROM ev WHERE x IS NOT NULL",
+    "grid": """SELECT week, feature, unnest(range(len(edges) - 1)) AS bin FROM win JOIN e USING (feature) WHERE len(edges) > 1""",
     "shares": """SELECT g.week, g.feature, g.bin,
-      coalesce(r.n, 0) / sum(coalesce(r.n, 0)) OVER (PARTITION BY g.week, g.feature) AS a,
-      coalesce(s.n, 0) / sum(coalesce(s.n, 0)) OVER (PARTITION BY g.week, g.feature) AS b FROM grid g
+      coalesce(r.n, 0) / greatest(sum(coalesce(r.n, 0)) OVER (PARTITION BY g.week, g.feature), 1) AS a,
+      coalesce(s.n, 0) / greatest(sum(coalesce(s.n, 0)) OVER (PARTITION BY g.week, g.feature), 1) AS b FROM grid g
       LEFT JOIN counts r ON r.feature = g.feature AND r.bin = g.bin AND r.week = TIMESTAMP '2024-01-01'
       LEFT JOIN counts s ON s.feature = g.feature AND s.bin = g.bin AND s.week = g.week""",
-    "psi": "SELECT week, feature, sum((a - b) * ln(greatest(a, 1e-6) / greatest(b, 1e-6))) AS psi FROM shares GROUP BY ALL"}
+    # features without a reference have NULL, windows with all values outside it their full PSI
+    "psi": """SELECT week, feature, sum((a - b) * ln(greatest(a, 1e-6) / greatest(b, 1e-6))) AS psi
+      FROM win LEFT JOIN shares USING (week, feature) GROUP BY ALL"""}
 
 
 def weekly_events(spark, sf, period="true"):
@@ -228,6 +231,51 @@ def weekly_psi(spark, sf):
     return rounded(D.psi_from_counts(counts, "week", edges, ref), 8)
 
 
+@query("successive_weeks_psi", f"""SELECT strftime(week, '%Y-%m-%d') AS week, feature, strftime(before, '%Y-%m-%d') AS previous, n,
+  round(psi, 8) AS psi, {_VERDICT.format('psi')} AS drift_verdict FROM successive""", {
+    **_WEEK, "sizes": "SELECT week, feature, sum(coalesce(n, 0))::BIGINT AS n FROM win LEFT JOIN counts USING (week, feature) GROUP BY ALL",
+    "steps": """SELECT *, lag(week) OVER (PARTITION BY feature ORDER BY week) AS before FROM sizes WHERE n > 0
+      UNION ALL SELECT *, NULL FROM sizes WHERE false""",
+    "successive": """SELECT t.week, t.feature, any_value(t.before) AS before, any_value(t.n) AS n, CASE WHEN any_value(t.before) IS NOT NULL THEN
+      sum((q.b - s.b) * ln(greatest(q.b, 1e-6) / greatest(s.b, 1e-6))) END AS psi FROM steps t
+      LEFT JOIN shares s ON s.week = t.week AND s.feature = t.feature
+      LEFT JOIN shares q ON q.week = t.before AND q.feature = t.feature AND q.bin = s.bin GROUP BY t.week, t.feature"""}, book=False)
+def successive_weeks_psi(spark, sf):
+    """Every week against the one before it, in the bins of the first week."""
+    from ..operators.quantiles import group_quantiles, unique_edges
+
+    first = weekly_events(spark, sf, "ts >= timestamp'2024-01-01' and ts < timestamp'2024-01-08'")
+    edges = {k: unique_edges(q, 9) for k, q in group_quantiles(first.select(F.col("feature").alias("key"), "x"), [i / 10 for i in range(11)]).items()}
+    counts = D.bin_counts_long(weekly_events(spark, sf), edges, ["week"])
+    return rounded(D.psi_between_windows(counts, "week", edges), 8)
+
+
+_HORIZON = 90
+
+
+@query("approved_outcomes", f"""SELECT strftime(date_trunc('month', ts), '%Y-%m-%d') AS month, recommendation, count(*) AS n_decided, count(y) AS n_known,
+  count(*) FILTER (WHERE y = 1) AS defaults, round(avg(y), 8) AS default_rate FROM (SELECT d.*, o.y FROM decided d LEFT JOIN outcome o
+    ON d.id = o.id AND o.at >= d.ts AND o.at <= d.ts + INTERVAL {_HORIZON} DAY) GROUP BY ALL""", {
+    "decided": """SELECT o_orderkey AS id, o_orderdate::TIMESTAMP AS ts, CASE WHEN o_orderkey % 10 < 2 THEN 'Approve' WHEN o_orderkey % 10 >= 5 THEN 'Reject'
+      ELSE 'Manual Review' END AS recommendation FROM orders""",
+    "outcome": """SELECT l_orderkey AS id, max(l_shipdate)::TIMESTAMP AS at, max((l_returnflag = 'R')::INT) AS y FROM lineitem WHERE l_orderkey % 13 <> 0
+      GROUP BY l_orderkey"""}, book=False)
+def approved_outcomes(spark, sf):
+    """Orders as decisions, their last shipment as the outcome: it comes later, sometimes after the horizon or never."""
+    from ..streaming.jobs import decision_outcomes
+
+    share = F.col("o_orderkey") % 10 / 10
+    decided = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("ts"),
+                                                policy_band(share).alias("recommendation"))
+    outcome = table(spark, sf, "lineitem").where("l_orderkey % 13 <> 0").groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.max("l_shipdate").cast("timestamp").alias("at"), F.max((F.col("l_returnflag") == "R").cast("int")).alias("TARGET"))
+    joined = decision_outcomes(decided, outcome, "id", horizon=f"{_HORIZON} days")
+    out = joined.groupBy(F.date_format(F.trunc("ts", "month"), "yyyy-MM-dd").alias("month"), "recommendation").agg(
+        F.count("*").alias("n_decided"), F.count("TARGET").alias("n_known"), F.count_if(F.col("TARGET") == 1).alias("defaults"),
+        F.avg("TARGET").alias("default_rate"))
+    return rounded(out, 8)
+
+
 @query("windowed_segment_rate", """SELECT strftime(week, '%Y-%m-%d') AS week, feature AS segment, count(*) AS n,
   round(avg(bad), 8) AS default_rate, round(greatest(avg(bad) - 1.96 * sqrt(avg(bad) * (1 - avg(bad)) / count(*)), 0), 8)
   AS ci_lo, round(least(avg(bad) + 1.96 * sqrt(avg(bad) * (1 - avg(bad)) / count(*)), 1), 8) AS ci_hi

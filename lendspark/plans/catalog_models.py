@@ -13,8 +13,11 @@ from ..operators import scoring as R
 from ..operators import selection as L
 from ..operators import stats as T
 from ..operators.cleaning import fix_sentinel
+from ..operators.boosting import train_boosted
 from ..operators.engineering import REQUIRED, credit_to_income, engineer_features, standardized
 from ..operators.neighbors import nearest_neighbours
+from ..operators.network import train_network
+from ..operators.newton import Design, fit_logistics
 from ..operators.quantiles import exact_quantiles
 from ..operators.splitting import fit_stratified_split, only
 from ..session import materialize
@@ -25,7 +28,17 @@ from .registry import query
 
 FEATURES = ["AGE_YEARS", "EMPLOYED_YEARS", "CREDIT_INCOME_RATIO", "ANNUITY_INCOME_RATIO", "CREDIT_GOODS_RATIO",
             "EXT_SOURCE_MEAN", "AMT_CREDIT", "AMT_INCOME_TOTAL", "AMT_ANNUITY", "CNT_FAM_MEMBERS"]
-_SMALL = {"n_trees": 10, "max_depth": 4}
+INPUTS = list(K.SCORER_INPUTS)
+TOP = 15  # inputs that selection keeps
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(spark, sf, name, make):
+    """A fitted model or written table, made once a session: several queries report on the same fit."""
+    key = spark.sparkContext.applicationId, sf, name
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def model_frame(spark, sf, features=tuple(FEATURES)):
@@ -36,6 +49,58 @@ def model_frame(spark, sf, features=tuple(FEATURES)):
     return materialize(split.transform(eng, K.SPLIT))
 
 
+def input_frame(spark, sf):
+    """All 30 scorer inputs, split-tagged, missing values kept."""
+    def make():
+        raw = R.raw_features(R.applicant_forms(loans(spark, sf, ["TARGET", *_FORM])), K.ID, K.TARGET)
+        split = fit_stratified_split(loans(spark, sf, ["SK_ID_CURR", "TARGET"]))
+        return materialize(split.transform(raw, K.SPLIT))
+
+    return kept(spark, sf, "inputs", make)
+
+
+def boosted(spark, sf):
+    """The documented classifier: 300 trees of depth 4, rate 0.05."""
+    return kept(spark, sf, "gbt", lambda: train_boosted(only(input_frame(spark, sf), "train"), INPUTS))
+
+
+def network(spark, sf):
+    df = input_frame(spark, sf)
+    return kept(spark, sf, "mlp", lambda: train_network(only(df, "train"), only(df, "val"), INPUTS, id_col=K.ID))
+
+
+def forest(spark, sf):
+    """300 trees of depth 12 with at least 20 rows a leaf."""
+    return kept(spark, sf, "rf", lambda: M_.train_random_forest(only(input_frame(spark, sf), "train"), INPUTS))
+
+
+def selectors(spark, sf):
+    """The documented selection models: 300 boosted trees of depth 6 at rate 0.1, 200 forest trees of depth 12."""
+    def make():
+        train = only(input_frame(spark, sf), "train")
+        return (train_boosted(train, INPUTS, n_trees=300, max_depth=6, learning_rate=0.1),
+                M_.train_random_forest(train, INPUTS, n_trees=200, max_depth=12))
+
+    return kept(spark, sf, "selectors", make)
+
+
+def attribution_table(spark, sf):
+    """Mean attributions of the selection trees over all train rows."""
+    return kept(spark, sf, "shap", lambda: materialize(
+        A.mean_abs_attribution(selectors(spark, sf)[0], only(input_frame(spark, sf), "train"), K.ID)))
+
+
+def selection(spark, sf):
+    """Both importances and the attribution, merged into one ranking of TOP inputs."""
+    gbt, rf = selectors(spark, sf)
+    both = M_.importances(gbt, "xgb_importance").join(M_.importances(rf, "rf_importance"), "feature")
+    return L.numbered(L.select_top_n(L.rank_merge(both), attribution_table(spark, sf), TOP))
+
+
+def selected_list(spark, sf):
+    return kept(spark, sf, "selected", lambda: [r.feature for r in selection(spark, sf).orderBy("rank").collect()])
+
+
 _SMOTE = ["AMT_CREDIT", "AMT_INCOME_TOTAL", "DAYS_BIRTH"]
 
 
@@ -64,57 +129,53 @@ def smote_rows(spark, sf):
 @query("logreg_scores")
 def logreg_scores(spark, sf):
     df = model_frame(spark, sf)
-    model = M_.train_logreg(only(df, "train"), FEATURES)
+    model = fit_logistics(only(df, "train"), [Design("logreg", tuple(FEATURES), 1.0, "balanced")])[0]
     return model.score(df.where("SPLIT <> 'train'")).select(K.ID, K.SPLIT, K.TARGET, "score")
 
 
 @query("gbt_scores")
 def gbt_scores(spark, sf):
-    df = model_frame(spark, sf)
-    model = M_.train_gbt(only(df, "train"), FEATURES, **_SMALL)
-    return model.score(df.where("SPLIT <> 'train'")).select(K.ID, K.SPLIT, K.TARGET, "score")
+    return boosted(spark, sf).score(input_frame(spark, sf).where("SPLIT <> 'train'")).select(K.ID, K.SPLIT, K.TARGET, "score")
 
 
 @query("rf_scores")
 def rf_scores(spark, sf):
-    df = model_frame(spark, sf)
-    model = M_.train_random_forest(only(df, "train"), FEATURES, n_trees=20, max_depth=8)
-    return model.score(df.where("SPLIT <> 'train'")).select(K.ID, K.SPLIT, K.TARGET, "score")
+    return forest(spark, sf).score(input_frame(spark, sf).where("SPLIT <> 'train'")).select(K.ID, K.SPLIT, K.TARGET, "score")
 
 
 @query("mlp_scores")
 def mlp_scores(spark, sf):
-    df = model_frame(spark, sf)
-    model = M_.train_mlp(only(df, "train"), only(df, "val"), FEATURES, hidden=(16, 8), iterations=(10, 20))
-    return model.score(only(df, "test")).select(K.ID, K.SPLIT, K.TARGET, "score")
+    return network(spark, sf).score(only(input_frame(spark, sf), "test")).select(K.ID, K.SPLIT, K.TARGET, "score")
 
 
 @query("model_comparison")
 def model_comparison(spark, sf):
-    df = model_frame(spark, sf)
-    train = only(df, "train")
-    models = [M_.train_logreg(train, FEATURES), M_.train_gbt(train, FEATURES, **_SMALL),
-              M_.train_random_forest(train, FEATURES, n_trees=10, max_depth=6)]
-    return M.model_report(M_.score_all(models, df.where("SPLIT <> 'train'")))
+    """All four families on validation and test rows; the winner has the largest validation AUC."""
+    df = input_frame(spark, sf)
+    logreg = fit_logistics(only(df, "train"), [Design("logreg", tuple(INPUTS), 1.0, "balanced")])[0]
+    models = [logreg, forest(spark, sf), boosted(spark, sf), network(spark, sf)]
+    report = materialize(M.model_report(M_.score_all(models, df.where("SPLIT <> 'train'"))))
+    # four models, so one row leads them all
+    winner = report.where("SPLIT = 'val'").orderBy(F.desc("roc_auc"), F.desc("f1"), "model").limit(1).select(F.col("model").alias("best"))
+    return report.crossJoin(winner).withColumn("winner", F.col("model") == F.col("best")).drop("best")
 
 
 @query("tune_trials")
 def tune_trials(spark, sf):
-    df = model_frame(spark, sf)
-    return M_.tune("logreg", only(df, "train"), only(df, "val"), FEATURES)[1]
+    df = input_frame(spark, sf)
+    return M_.tune_all(only(df, "train"), only(df, "val"), INPUTS, grids={f: M_.FAMILY_GRIDS[f] for f in ("logreg", "gbt", "mlp")})[1]
 
 
 @query("cv_auc")
 def cv_auc(spark, sf):
-    sets = {"all": FEATURES, "top": FEATURES[:5]}
-    return M_.cross_validated_auc(model_frame(spark, sf).where("SPLIT <> 'test'"), sets, k=5)
+    """All inputs against the selected ones."""
+    sets = {"all": INPUTS, "top": selected_list(spark, sf)}
+    return M_.cross_validated_auc(input_frame(spark, sf).where("SPLIT <> 'test'"), sets, k=5)
 
 
 @query("cv_summary")
 def cv_summary(spark, sf):
-    sets = {"all": FEATURES, "top": FEATURES[:5]}
-    folds = M_.cross_validated_auc(model_frame(spark, sf).where("SPLIT <> 'test'"), sets, k=5)
-    return T.carry_forward(T.fold_summary(folds), "top", "all")
+    return T.carry_forward(T.fold_summary(cv_auc(spark, sf)), "top", "all")
 
 
 @query("hypothesis_logit")
@@ -134,7 +195,7 @@ def imbalance_ab(spark, sf):
     train, val = only(df, "train"), only(df, "val")
     smote = materialize(B.with_smote(train, features))
     rows = []
-    for name, trainer, weight, extra in (("logreg", M_.train_logreg, "balanced", {}), ("gbt", M_.train_gbt, "pos_weight", _SMALL)):
+    for name, trainer, weight, extra in (("logreg", M_.train_logreg, "balanced", {}), ("gbt", train_boosted, "pos_weight", {})):
         for how, data, mode in (("class_weight", train, weight), ("smote", smote, "none")):
             got = M_.evaluate(trainer(data, features, imbalance=mode, **extra), val, 0.5)
             rows.append((name, how, got["roc_auc"], got["f1"]))
@@ -143,39 +204,27 @@ def imbalance_ab(spark, sf):
 
 @query("gbt_importance")
 def gbt_importance(spark, sf):
-    df = only(model_frame(spark, sf), "train")
-    return M_.importances(M_.train_gbt(df, FEATURES, **_SMALL), "xgb_importance")
+    return M_.importances(selectors(spark, sf)[0], "xgb_importance")
 
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    df = only(model_frame(spark, sf), "train")
-    return M_.importances(M_.train_random_forest(df, FEATURES, n_trees=20, max_depth=8), "rf_importance")
+    return M_.importances(selectors(spark, sf)[1], "rf_importance")
 
 
 @query("mean_abs_attribution")
 def mean_abs_attribution(spark, sf):
-    train = only(model_frame(spark, sf), "train")
-    model = M_.train_gbt(train, FEATURES, n_trees=10, max_depth=3)
-    return A.mean_abs_attribution(model, train, K.ID)
+    return attribution_table(spark, sf)
 
 
 @query("selected_features")
 def selected_features(spark, sf):
-    """Both importances and the attribution, merged into one ranking."""
-    train = only(model_frame(spark, sf), "train")
-    gbt = M_.train_gbt(train, FEATURES, n_trees=10, max_depth=3)
-    rf = M_.train_random_forest(train, FEATURES, n_trees=20, max_depth=8)
-    both = M_.importances(gbt, "xgb_importance").join(M_.importances(rf, "rf_importance"), "feature")
-    shap = A.mean_abs_attribution(gbt, train, K.ID)
-    return L.numbered(L.select_top_n(L.rank_merge(both), shap, 5))
+    return selection(spark, sf)
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    df = model_frame(spark, sf, tuple(FEATURES[:4]))
-    model = M_.train_gbt(only(df, "train"), FEATURES[:4], **_SMALL)
-    return A.permutation_importance(model, only(df, "val"), K.ID, K.TARGET)
+    return A.permutation_importance(boosted(spark, sf), only(input_frame(spark, sf), "val"), K.ID, K.TARGET)
 
 
 def scorer(spark, sf):

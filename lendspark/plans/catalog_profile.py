@@ -60,6 +60,12 @@ def missing_ids(spark, sf):
     return A.missing_ids(table(spark, sf, "labels"), "doc_id", ends.lo, ends.hi)
 
 
+@query("missing_id_ranges", """SELECT id + 1 AS first, nx - 1 AS last, nx - id - 1 AS n_missing FROM (
+  SELECT id, lead(id) OVER (ORDER BY id) AS nx FROM (SELECT DISTINCT doc_id AS id FROM labels)) WHERE nx - id > 1""", book=False)
+def missing_id_ranges(spark, sf):
+    return A.missing_ranges(table(spark, sf, "labels"), "doc_id")
+
+
 _MISSING = {"prof": " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", avg(({c} IS NULL)::INT) AS missing_frac FROM loans" for c in APPLICATION)}
 

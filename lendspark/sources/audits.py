@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,12 +17,50 @@ from ..session import materialize
 _ID_BLOCK = 1 << 20
 
 
+def line_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, lines, quotes, even, blank_even, blank_odd): each block of each file, counted where it is read.
+
+    ``even``: lines after which the block has had an even number of quotes; of the blank lines those in either state.  A block is what one
+    scan task reads of a file, so a large file is counted by many tasks.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple, list[int]] = {}
+        for batch in batches:
+            value, file, start = batch.columns
+            quotes = pc.count_substring(value, '"').to_numpy(zero_copy_only=False)
+            blank = pc.equal(pc.utf8_length(pc.utf8_trim_whitespace(value)), 0).to_numpy(zero_copy_only=False)
+            # runs of one block; a task reads its blocks one after the other
+            places = list(zip(file.to_pylist(), start.to_pylist()))
+            cuts = [0, *(k for k in range(1, len(places)) if places[k] != places[k - 1]), len(places)]
+            for a, b in zip(cuts, cuts[1:]):
+                own = found.setdefault(places[a], [0] * 5)
+                odd = (own[1] + np.cumsum(quotes[a:b])) % 2 == 1
+                for k, n in enumerate((b - a, int(quotes[a:b].sum()), int((~odd).sum()), int((blank[a:b] & ~odd).sum()), int((blank[a:b] & odd).sum()))):
+                    own[k] += n
+        yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK.names, (*k, *v))) for k, v in found.items()], schema=_BLOCK)
+
+    return lines.mapInArrow(count, "file string, start long, lines long, quotes long, even long, blank_even long, blank_odd long")
+
+
+_BLOCK = pa.schema([("file", pa.string()), *((n, pa.int64()) for n in ("start", "lines", "quotes", "even", "blank_even", "blank_odd"))])
+
+
 def line_audit(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """(physical_lines, parsed_rows) of a CSV file: they differ when records hold line breaks."""
-    lines = spark.read.text(path).agg(F.count("*").alias("physical_lines"))
-    parsed = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
-    n = parsed.count()
-    return lines.withColumn("parsed_rows", F.lit(n).cast("long"))
+    """(physical_lines, parsed_rows) of a CSV file or folder with headers: they differ when records hold line breaks.
+
+    A record ends with the line after which the file has had an even number of quotes.  Blocks are counted for either state; the quotes of
+    the blocks before, a running sum over one row a block, say which state it was.  Blank records don't count.  Without
+    ``multi_line`` every line is a record.
+    """
+    blocks = line_blocks(spark, path)
+    before = F.coalesce(F.sum("quotes").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    records = F.when(F.col("odd") == 0, F.col("even") - F.col("blank_even")).otherwise(F.col("lines") - F.col("even") - F.col("blank_odd"))
+    if not multi_line:
+        records = F.col("lines") - F.col("blank_even") - F.col("blank_odd")
+    files = blocks.withColumn("odd", before).groupBy("file").agg(F.sum("lines").alias("lines"), F.sum(records).alias("records"))
+    return files.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("physical_lines"), F.coalesce(F.sum(F.greatest(F.col("records") - 1, F.lit(0))), F.lit(0)).alias("parsed_rows"))
 
 
 def embedded_newlines(df: DataFrame, *cols: str) -> DataFrame:
@@ -97,10 +138,38 @@ def id_gaps(df: DataFrame, id_col: str, bucket_rows: int = SINGLE_TASK_ROWS) ->
     )
 
 
-def missing_ids(df: DataFrame, id_col: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
-    """Ids of the full range that do not occur."""
-    if lo is None or hi is None:
-        ends = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
-        lo, hi = (ends.lo if lo is None else lo), (ends.hi if hi is None else hi)
-    present = df.select(F.col(id_col).cast("long").alias("id")).distinct()
-    return df.sparkSession.range(lo, hi + 1).join(present, "id", "left_anti")
+def missing_ranges(df: DataFrame, id_col: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """(first, last, n_missing): runs of ids of the range that do not occur; as many rows as there are gaps, however wide.
+
+    ``lo`` and ``hi`` default to the smallest and largest id.  Without ids, and without a range, there are no rows.
+    """
+    spark = df.sparkSession
+    ids = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"))
+    if lo is not None:
+        ids = ids.where(F.col("id") >= lo)
+    if hi is not None:
+        ids = ids.where(F.col("id") <= hi)
+    ends = ids.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    schema = "first long, last long"
+    if ends.lo is None:
+        edges = [(lo, hi)] if lo is not None and hi is not None and lo <= hi else []
+        out = spark.createDataFrame(edges, schema)
+    else:
+        edges = [(lo, ends.lo - 1)] if lo is not None and lo < ends.lo else []
+        edges += [(ends.hi + 1, hi)] if hi is not None and ends.hi < hi else []
+        inner = id_gaps(ids, "id").select((F.col("id") + 1).alias("first"), (F.col("next_id") - 1).alias("last"))
+        out = inner.unionByName(spark.createDataFrame(edges, schema))
+    return out.withColumn("n_missing", F.col("last") - F.col("first") + 1)
+
+
+def missing_ids(df: DataFrame, id_col: str, lo: int | None = None, hi: int | None = None, at_most: int = 10_000_000_000) -> DataFrame:
+    """Ids of the full range that do not occur, one row each.  More than ``at_most`` of them raise: ``missing_ranges`` lists any number."""
+    ranges = materialize(missing_ranges(df, id_col, lo, hi))
+    total = ranges.agg(F.sum(F.col("n_missing").cast("decimal(38,0)"))).first()[0] or 0
+    if total > at_most:
+        raise ValueError(f"{total} ids are missing; missing_ranges lists them as ranges")
+    # wide gaps are cut first, so that no array is long
+    parts = ranges.select("last", F.explode(F.sequence("first", "last", F.lit(_ID_BLOCK))).alias("at"))
+    return parts.select(F.explode(F.sequence("at", F.least(F.col("at") + _ID_BLOCK - 1, F.col("last")))).alias("id"))
+
+

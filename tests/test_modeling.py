@@ -100,7 +100,7 @@ def test_tuning_and_refit(frame):
 
 
 def test_cross_validation_and_hypotheses(frame):
-    cv = M.cross_validated_auc(frame, {"all": NAMES, "noise": ["c"]}, k=3, max_iter=20)
+    cv = M.cross_validated_auc(frame, {"all": NAMES, "noise": ["c"]}, k=3)
     mean = {r.feature_set: r.m for r in cv.groupBy("feature_set").agg(F.avg("roc_auc").alias("m")).collect()}
     assert mean["all"] > 0.85 > 0.65 > mean["noise"]
     h = {(r.model, r.term): r.coefficient for r in M.logit_hypotheses(frame, {"one": ["a"], "two": ["a", "b"]}).collect()}

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +134,37 @@ def test_scattered_ids_link_across_buckets(spark):
     assert got == [(a, b, b - a - 1) for a, b in zip(ids, ids[1:]) if b - a > 1]
     wanted = df.where(F.col("id") % 2 == 0)
     assert member_filter(df, "id", wanted).count() == wanted.count() == member_filter(df, "id", [r.id for r in wanted.collect()]).count()
+
+
+def test_missing_ranges_of_any_width(spark):
+    df = spark.createDataFrame([(3,), (3 + (1 << 62),), (None,)], "id long")
+    assert [tuple(r) for r in A.missing_ranges(df, "id").collect()] == [(4, 2 + (1 << 62), (1 << 62) - 1)]
+    with pytest.raises(ValueError):
+        A.missing_ids(df, "id")
+    few = spark.createDataFrame([(5,), (9,), (9,)], "id long")
+    assert sorted(tuple(r) for r in A.missing_ranges(few, "id", 1, 12).collect()) == [(1, 4, 4), (6, 8, 3), (10, 12, 3)]
+    assert sorted(r.id for r in A.missing_ids(few, "id", 1, 12).collect()) == [1, 2, 3, 4, 6, 7, 8, 10, 11, 12]
+    assert [tuple(r) for r in A.missing_ranges(few.where("false"), "id", 1, 2).collect()] == [(1, 2, 2)]
+    assert A.missing_ranges(few.where("false"), "id").count() == 0
+
+
+def test_line_audit_of_a_file_in_many_blocks(spark, tmp_path):
+    """Quoted line breaks, doubled quotes and blank lines, in files that many tasks read a part of."""
+    rng = random.Random(1)
+    rows = []
+    for k in range(3000):
+        text = "".join(rng.choice(['a', 'b', '""', "\n", ",", "\n\n", "é"]) for _ in range(rng.randint(0, 12)))
+        rows.append(f'{k},"{text}"' if rng.random() < 0.7 else f"{k},plain" + rng.choice(["", "\n"]))
+    (tmp_path / "d").mkdir()
+    for name, part in (("a", rows[:2500]), ("b", rows[2500:]), ("c", [])):
+        (tmp_path / "d" / f"{name}.csv").write_text("\n".join(["id,text", *part]) + "\n")
+    lines = sum(p.read_text().count("\n") for p in (tmp_path / "d").iterdir())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        path = str(tmp_path / "d")
+        assert A.line_blocks(spark, path).count() > 10
+        assert tuple(A.line_audit(spark, path).first()) == (lines, 3000)
+        parsed = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        assert parsed.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
