@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-LEVELS = 3  # segments that the SQL tells apart and that a template always names; deeper ones are named up to the last branch of its own
+LEVELS = 3  # segments that a template always names; deeper ones are named up to the last branch of its own
+SQL_LEVELS = 8  # segments that the SQL tells apart; here there is no limit
 MIN_PAGES = 5  # a branch of its own has at least so many pages
-MIN_SHARE = 0.05  # ... and in the SQL this share of its parent's
 DIFFERENT = 1.96  # standard errors between a branch and its siblings, from which they stay apart
 STRENGTH = 10.0  # labelled pages that the smoothing counts for
 REJECT_BELOW = 0.5
@@ -121,7 +121,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], page: str
 def judge_sql(rules: dict[str, str]) -> str:
     """The judgement in SQL, over ``pages`` and ``labels``, with good = quality 1 and toxic 0.
 
-    It is the same where no branch of its own is rarer than MIN_SHARE of its parent or deeper than LEVELS segments.
+    It is the same where no branch of its own is deeper than SQL_LEVELS segments.
     """
     case = "NULL"
     for rule in sorted(rules, key=lambda r: (len(r), r)):
@@ -129,32 +129,41 @@ def judge_sql(rules: dict[str, str]) -> str:
         case = f"CASE WHEN (host = '{domain}' OR ends_with(host, '.{domain}')) AND starts_with(path, '{slash + tail}') THEN '{rule}' ELSE {case} END"
     verdict = " ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in rules.items())
     levels = ""
-    for d in range(1, LEVELS + 1):
+    for d in range(1, SQL_LEVELS + 1):
+        deep = d > LEVELS
+        if deep:
+            levels += f"""
+, m{d} AS (SELECT host, template, true AS mixed FROM t{d - 1} WHERE alive AND len(segments) >= {d} GROUP BY ALL
+           HAVING count(*) > {MIN_PAGES} AND sum(good) > 0 AND sum(good) < count(good))
+, w{d} AS (SELECT * EXCLUDE (alive, mixed), alive AND len(segments) >= {d} AND mixed IS NOT NULL AS alive FROM t{d - 1} LEFT JOIN m{d} USING (host, template))"""
         levels += f"""
-, a{d} AS (SELECT *, segments[{d}] AS segment FROM t{d - 1})
+, a{d} AS (SELECT *, CASE WHEN alive THEN segments[{d}] END AS segment FROM {f"w{d}" if deep else f"t{d - 1}"})
 , b{d} AS (SELECT host, template, segment, count(*) AS n, count(good) AS k, coalesce(sum(good), 0) AS g FROM a{d}
            WHERE segment IS NOT NULL GROUP BY ALL)
-, p{d} AS (SELECT host, template, sum(n) AS pn, sum(k) AS pk, sum(g) AS pg FROM b{d} GROUP BY ALL)
+, p{d} AS (SELECT host, template, sum(k) AS pk, sum(g) AS pg FROM b{d} GROUP BY ALL)
 , o{d} AS (SELECT host, template, segment, true AS own FROM b{d} JOIN p{d} USING (host, template)
-           WHERE n >= {MIN_PAGES} AND n >= {MIN_SHARE}::DOUBLE * pn AND k > 0 AND pk > k
+           WHERE n >= {MIN_PAGES} AND k > 0 AND pk > k
              AND abs(g::DOUBLE / k - (pg - g)::DOUBLE / (pk - k))
                  > {DIFFERENT}::DOUBLE * sqrt(pg::DOUBLE / pk * (1 - pg::DOUBLE / pk) * (1::DOUBLE / k + 1::DOUBLE / (pk - k))))
-, t{d} AS (SELECT page_id, host, path, rule, good, segments,
-                  template || CASE WHEN segment IS NULL THEN '' WHEN own THEN '/' || segment ELSE '/*' END AS template
+, t{d} AS (SELECT page_id, host, path, rule, good, segments, alive,
+                  template || CASE WHEN segment IS NULL THEN '' WHEN own THEN '/' || segment ELSE '/*' END AS template,
+                  CASE WHEN {"own" if deep else "true"} THEN template || CASE WHEN segment IS NULL THEN '' WHEN own THEN '/' || segment ELSE '/*' END
+                       ELSE named END AS named
            FROM a{d} LEFT JOIN o{d} USING (host, template, segment))"""
     return f"""
 WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)
 , h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
 , l AS (SELECT doc_id, min((quality = 1 AND toxic = 0)::INT) AS good FROM labels GROUP BY doc_id)
-, t0 AS (SELECT page_id, host, path, {case} AS rule, good, list_filter(string_split(path, '/'), lambda s: s <> '') AS segments, '' AS template
+, t0 AS (SELECT page_id, host, path, {case} AS rule, good, list_filter(string_split(path, '/'), lambda s: s <> '') AS segments, '' AS template, '' AS named, true AS alive
          FROM h LEFT JOIN l ON l.doc_id = try_cast(regexp_extract(path, '^.*?([0-9]{{1,18}})[^0-9]*$', 1) AS BIGINT)){levels}
-, s AS (SELECT host, template, count(good) AS k, coalesce(sum(good), 0) AS g FROM t{LEVELS} GROUP BY ALL)
+, z AS (SELECT page_id, host, path, rule, good, named AS template FROM t{SQL_LEVELS})
+, s AS (SELECT host, template, count(good) AS k, coalesce(sum(good), 0) AS g FROM z GROUP BY ALL)
 , hs AS (SELECT host, sum(k) AS hk, sum(g) AS hg FROM s GROUP BY ALL)
 , o AS (SELECT CASE WHEN sum(hk) > 0 THEN sum(hg)::DOUBLE / sum(hk) ELSE 1.0 END AS overall FROM hs)
 , q AS (SELECT host, template, (g + {STRENGTH}::DOUBLE * ((hg + {STRENGTH}::DOUBLE * overall) / (hk + {STRENGTH}::DOUBLE))) / (k + {STRENGTH}::DOUBLE) AS purity
         FROM s JOIN hs USING (host), o)
 SELECT page_id, host, path, rule, template, round(purity, 9) AS purity,
        CASE {verdict} WHEN purity < {REJECT_BELOW} THEN 'block' ELSE 'allow' END AS verdict
-FROM t{LEVELS} JOIN q USING (host, template)
+FROM z JOIN q USING (host, template)
 """

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import duckdb
 import pytest
 
 import corpus_pipeline
@@ -182,6 +183,13 @@ def test_small_and_deep_url_sections_are_told_apart(spark):
     assert len(got) == 6100 and [got[k].verdict for k in range(6100)] == ["block" if b else "allow" for b in bad]
     assert got[7].template == "/s7/*" and got[8].template == "/*/*"
     assert got[3000].template == "/*/*/*/bad" and got[6001].template == "/*/*/*/*/*/bad"
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR); CREATE TABLE labels (doc_id BIGINT, quality INT, toxic INT)")
+    con.execute("INSERT INTO pages SELECT unnest(?), unnest(?)", [list(range(6100)), urls])
+    con.execute("INSERT INTO labels SELECT unnest(?), unnest(?), 0", [list(range(6100)), [int(not b) for b in bad]])
+    rows = con.execute(f"SELECT page_id, template, purity, verdict FROM ({urlfilter.judge_sql(corpus.URL_RULES)})").fetchall()
+    assert {(p, t, v) for p, t, _, v in rows} == {(k, r.template, r.verdict) for k, r in got.items()}
+    assert all(abs(got[p].purity - purity) < 1e-8 for p, _, purity, _ in rows)
     plain = judged(spark, urls[3000:], [(k, 1) for k in range(6100)])
     assert {r.template for r in plain.values()} == {"/*/*/*"}
 
