@@ -218,7 +218,7 @@ def weekly_events(spark, sf, period="true"):
 
 
 @query("weekly_psi", f"""SELECT strftime(week, '%Y-%m-%d') AS week, feature, round(psi, 8) AS psi,
-  {_VERDICT.format('psi')} AS drift_verdict FROM psi""", _WEEK, book=False)
+  CASE WHEN psi IS NOT NULL THEN {_VERDICT.format('psi')} END AS drift_verdict FROM psi""", _WEEK, book=False)
 def weekly_psi(spark, sf):
     from ..operators.quantiles import group_quantiles, unique_edges
 
@@ -232,7 +232,7 @@ def weekly_psi(spark, sf):
 
 
 @query("successive_weeks_psi", f"""SELECT strftime(week, '%Y-%m-%d') AS week, feature, strftime(before, '%Y-%m-%d') AS previous, n,
-  round(psi, 8) AS psi, {_VERDICT.format('psi')} AS drift_verdict FROM successive""", {
+  round(psi, 8) AS psi, CASE WHEN psi IS NOT NULL THEN {_VERDICT.format('psi')} END AS drift_verdict FROM successive""", {
     **_WEEK, "sizes": "SELECT week, feature, sum(coalesce(n, 0))::BIGINT AS n FROM win LEFT JOIN counts USING (week, feature) GROUP BY ALL",
     "steps": """SELECT *, lag(week) OVER (PARTITION BY feature ORDER BY week) AS before FROM sizes WHERE n > 0
       UNION ALL SELECT *, NULL FROM sizes WHERE false""",
