@@ -19,7 +19,7 @@ from ..operators.neighbors import nearest_neighbours
 from ..operators.network import train_network
 from ..operators.newton import Design, fit_logistics
 from ..operators.quantiles import exact_quantiles
-from ..operators.splitting import fit_stratified_split, only
+from ..operators.splitting import fit_stratified_split, only, sample_rows
 from ..session import materialize
 from . import sqlparts as S
 from .catalog_metrics import _FORM
@@ -77,26 +77,26 @@ def forest(spark, sf):
     return kept(spark, sf, "rf", lambda: M_.train_random_forest(only(input_frame(spark, sf), "train"), INPUTS, n_trees=FOREST_TREES))
 
 
-def selectors(spark, sf):
-    """The selection models: 300 boosted trees of depth 6 at rate 0.1, FOREST_TREES forest trees of depth 12."""
-    def make():
-        train = only(input_frame(spark, sf), "train")
-        return (train_boosted(train, INPUTS, n_trees=300, max_depth=6, learning_rate=0.1),
-                M_.train_random_forest(train, INPUTS, n_trees=FOREST_TREES, max_depth=12))
+def selection_trees(spark, sf):
+    """300 boosted trees of depth 6 at rate 0.1."""
+    return kept(spark, sf, "selection gbt", lambda: train_boosted(only(input_frame(spark, sf), "train"), INPUTS, n_trees=300, max_depth=6, learning_rate=0.1))
+
 
-    return kept(spark, sf, "selectors", make)
+EXPLAINED = 5_000  # train rows whose attributions are averaged, the documented sample
 
 
 def attribution_table(spark, sf):
-    """Mean attributions of the selection trees over all train rows."""
-    return kept(spark, sf, "shap", lambda: materialize(
-        A.mean_abs_attribution(selectors(spark, sf)[0], only(input_frame(spark, sf), "train"), K.ID)))
+    """Mean attributions of the selection trees over a sample of train rows."""
+    def make():
+        rows = sample_rows(only(input_frame(spark, sf), "train"), EXPLAINED, K.ID)
+        return materialize(A.mean_abs_attribution(selection_trees(spark, sf), rows, K.ID))
+
+    return kept(spark, sf, "shap", make)
 
 
 def selection(spark, sf):
     """Both importances and the attribution, merged into one ranking of TOP inputs."""
-    gbt, rf = selectors(spark, sf)
-    both = M_.importances(gbt, "xgb_importance").join(M_.importances(rf, "rf_importance"), "feature")
+    both = M_.importances(selection_trees(spark, sf), "xgb_importance").join(M_.importances(forest(spark, sf), "rf_importance"), "feature")
     return L.numbered(L.select_top_n(L.rank_merge(both), attribution_table(spark, sf), TOP))
 
 
@@ -207,12 +207,12 @@ def imbalance_ab(spark, sf):
 
 @query("gbt_importance")
 def gbt_importance(spark, sf):
-    return M_.importances(selectors(spark, sf)[0], "xgb_importance")
+    return M_.importances(selection_trees(spark, sf), "xgb_importance")
 
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    return M_.importances(selectors(spark, sf)[1], "rf_importance")
+    return M_.importances(forest(spark, sf), "rf_importance")
 
 
 @query("mean_abs_attribution")
