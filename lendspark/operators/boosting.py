@@ -64,11 +64,11 @@ def vector_of(features: Sequence[str]):
     return F.array(*[F.col(f"`{f}`").cast("double") for f in features])
 
 
-def pack(df: DataFrame, features: Sequence[str], cuts: dict[str, np.ndarray], label, models: int, count: int) -> DataFrame:
+def pack(df: DataFrame, features: Sequence[str], cuts: dict[str, np.ndarray], label, models: int, count: int, key=None) -> DataFrame:
     """Blocks of binned rows with a margin of 0 for each of ``models``, written; rows without a label are left out.
 
-    ``count``: about as many rows, so that few rows make few blocks."""
-    rows = df.select(vector_of(features).alias("x"), label.cast("int").alias("y")).where("y is not null")
+    ``count``: about as many rows, so that few rows make few blocks.  With ``key``, a long, blocks hold it in place of margins."""
+    rows = df.select(vector_of(features).alias("x"), label.cast("int").alias("y"), *([] if key is None else [key.alias("k")])).where("y is not null")
     rows = rows.coalesce(partitions(df, count))  # never more than there are
     bounds = [cuts[f] for f in features]
 
@@ -76,17 +76,17 @@ def pack(df: DataFrame, features: Sequence[str], cuts: dict[str, np.ndarray], la
         held, size = [], 0
 
         def block(parts):
-            x, y = (np.concatenate(p) for p in zip(*parts))
+            x, y, *k = (np.concatenate(p) for p in zip(*parts))
             codes = np.empty((len(bounds), len(x)), dtype=np.uint8)
             for f, b in enumerate(bounds):
                 at = np.minimum(np.searchsorted(b, x[:, f], side="left"), BINS - 1)  # bin k: above bound k - 1, up to bound k
                 codes[f] = np.where(np.isnan(x[:, f]), MISSING, at)
-            parts = (codes, y.astype(np.uint8), np.zeros(models * len(x)))
+            parts = (codes, y.astype(np.uint8), k[0] if k else np.zeros(models * len(x)))
             return pa.RecordBatch.from_arrays([pa.array([len(x)]), *(pa.array([p.tobytes()], type=pa.binary()) for p in parts)],
                                               names=["n", "codes", "label", "margin"])
 
         for batch in batches:
-            held.append((as_matrix(batch.column(0), len(bounds)), batch.column(1).to_numpy()))
+            held.append((as_matrix(batch.column(0), len(bounds)), *(c.to_numpy() for c in batch.columns[1:])))
             size += batch.num_rows
             if size >= BLOCK_ROWS:
                 yield block(held)

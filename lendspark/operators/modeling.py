@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..session import materialize, shared_dir
 from .boosting import BoostedTrees, train_boosted_grid
+from .forest import Forest, train_forest
 from .metrics import areas, choose_threshold, confusion_metrics
 from .network import train_network
 from .newton import Design, fit_logistics, fold_aucs
@@ -302,8 +303,7 @@ def tune_all(train: DataFrame, val: DataFrame, features: Sequence[str], id_col:
         elif family == "gbt":
             own = train_boosted_grid(train, features, grid, n_trees, target)
         elif family == "random_forest":
-            spec = fit_model_input(train, features)
-            own = [train_random_forest(train, features, n_trees=n_trees, target=target, spec=spec, **g) for g in grid]
+            own = [train_forest(train, features, n_trees=n_trees, target=target, id_col=id_col, **g) for g in grid]
         elif family == "mlp":
             own = [train_network(train, val, features, target=target, id_col=id_col, **g) for g in grid]
         else:
@@ -339,9 +339,9 @@ def trial_report(models: Sequence, df: DataFrame, target: str = K.TARGET) -> Dat
     return a.join(t, "model").join(c, "model").select("model", "roc_auc", "pr_auc", "threshold", "precision", "recall", "f1", "accuracy")
 
 
-def importances(model: FittedModel | BoostedTrees, out: str) -> DataFrame:
+def importances(model: FittedModel | BoostedTrees | Forest, out: str) -> DataFrame:
     """(feature, importance) of a tree model; one row per feature."""
-    if isinstance(model, BoostedTrees):
+    if isinstance(model, (BoostedTrees, Forest)):
         rows = list(model.importances().items())
     else:
         values = model.classifier.featureImportances.toArray()

@@ -14,6 +14,7 @@ from ..operators import selection as L
 from ..operators import stats as T
 from ..operators.cleaning import fix_sentinel
 from ..operators.boosting import train_boosted
+from ..operators.forest import train_forest
 from ..operators.engineering import REQUIRED, credit_to_income, engineer_features, standardized
 from ..operators.neighbors import nearest_neighbours
 from ..operators.network import train_network
@@ -69,12 +70,14 @@ def network(spark, sf):
     return kept(spark, sf, "mlp", lambda: train_network(only(df, "train"), only(df, "val"), INPUTS, id_col=K.ID))
 
 
-FOREST_TREES = 100  # of Spark's forest, for which 300 trees of this depth take minutes
+def forest(spark, sf):
+    """The documented classifier: 300 trees of depth 12 with at least 20 rows a leaf, classes balanced in each tree's rows."""
+    return kept(spark, sf, "rf", lambda: train_forest(only(input_frame(spark, sf), "train"), INPUTS, id_col=K.ID))
 
 
-def forest(spark, sf):
-    """FOREST_TREES trees of depth 12 with at least 20 rows a leaf."""
-    return kept(spark, sf, "rf", lambda: M_.train_random_forest(only(input_frame(spark, sf), "train"), INPUTS, n_trees=FOREST_TREES))
+def selection_forest(spark, sf):
+    """200 trees of depth 12, classes balanced once."""
+    return kept(spark, sf, "selection rf", lambda: train_forest(only(input_frame(spark, sf), "train"), INPUTS, n_trees=200, imbalance="balanced_once", id_col=K.ID))
 
 
 def selection_trees(spark, sf):
@@ -96,7 +99,7 @@ def attribution_table(spark, sf):
 
 def selection(spark, sf):
     """Both importances and the attribution, merged into one ranking of TOP inputs."""
-    both = M_.importances(selection_trees(spark, sf), "xgb_importance").join(M_.importances(forest(spark, sf), "rf_importance"), "feature")
+    both = M_.importances(selection_trees(spark, sf), "xgb_importance").join(M_.importances(selection_forest(spark, sf), "rf_importance"), "feature")
     return L.numbered(L.select_top_n(L.rank_merge(both), attribution_table(spark, sf), TOP))
 
 
@@ -166,7 +169,7 @@ def model_comparison(spark, sf):
 @query("tune_trials")
 def tune_trials(spark, sf):
     df = input_frame(spark, sf)
-    return M_.tune_all(only(df, "train"), only(df, "val"), INPUTS, grids={f: M_.FAMILY_GRIDS[f] for f in ("logreg", "gbt", "mlp")})[1]
+    return M_.tune_all(only(df, "train"), only(df, "val"), INPUTS)[1]
 
 
 @query("cv_auc")
@@ -212,7 +215,7 @@ def gbt_importance(spark, sf):
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    return M_.importances(forest(spark, sf), "rf_importance")
+    return M_.importances(selection_forest(spark, sf), "rf_importance")
 
 
 @query("mean_abs_attribution")
