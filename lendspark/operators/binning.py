@@ -127,3 +127,38 @@ def kde(
         .groupBy("g", "i").agg(F.sum(kernel).alias("density"))
         .select(F.col("g").alias(by), F.col("i").alias("point"), at.alias("x"), "density")
     )
+
+
+def kde_binned(df: DataFrame, col: str, by: str, points: int = 200, limits: tuple[float, float] | None = None, tolerance: float = 1e-6) -> DataFrame:
+    """Gaussian density per group on a grid as ``kde``, with a bounded error: (group, x, density).
+
+    A value is shared out between the two cells around it (linear binning), cells are summed map-side, and a cell meets only the points in reach
+    of its kernel.  The kernel's curvature is at most its peak over h^2, so cells of h * sqrt(8 * tolerance) move a density by at most ``tolerance``
+    of the kernel's peak, 1 / (h * sqrt(2 * pi)); what lies out of reach is as small.  The error is below twice that.  After one pass over
+    the rows work depends on range, bandwidth and points, not on rows, distinct values or the number of groups in the driver.
+
+    Nulls, NaN and infinite values are left out, as are groups that are null, have one value or no spread.  Without any group there are no rows.
+    """
+    rows = df.select(F.col(by).alias("g"), F.col(col).cast("double").alias("v")).where("v IS NOT NULL AND g IS NOT NULL AND abs(v) < double('inf')")
+    band = rows.groupBy("g").agg(F.count("*").alias("n"), F.stddev_samp("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")).where("s > 0")
+    lo, hi = limits or band.agg(F.min("lo"), F.max("hi")).first()
+    if lo is None:
+        lo, hi = 0.0, 1.0  # no group, no rows
+    step, reach = (hi - lo) / (points - 1), math.sqrt(-2 * math.log(tolerance))
+    band = band.select("g", "n", (F.col("s") * F.pow("n", F.lit(-0.2))).alias("h"))
+    width = F.col("h") * math.sqrt(8 * tolerance)
+    far = (reach + 1) * F.col("h")
+    at = (F.col("v") - lo) / width
+    placed = rows.join(band, "g").where((F.col("v") >= lo - far) & (F.col("v") <= hi + far)).select("g", "n", "h", F.floor(at).alias("c"), (at - F.floor(at)).alias("t"))
+    cells = placed.groupBy("g", "n", "h", "c").agg(F.sum(1 - F.col("t")).alias("near"), F.sum("t").alias("next"))
+    ends = F.explode(F.array(F.struct("c", F.col("near").alias("w")), F.struct((F.col("c") + 1).alias("c"), F.col("next").alias("w"))))
+    centre = cells.select("g", "n", "h", ends.alias("e")).select("g", "n", "h", (lo + F.col("e.c") * width).alias("m"), "e.w")
+    first = F.greatest(F.ceil((F.col("m") - reach * F.col("h") - lo) / step), F.lit(0))
+    last = F.least(F.floor((F.col("m") + reach * F.col("h") - lo) / step), F.lit(points - 1))
+    met = centre.withColumn("first", first.cast("int")).withColumn("last", last.cast("int")).where("first <= last AND w > 0")
+    met = met.withColumn("i", F.explode(F.sequence("first", "last")))
+    x = F.lit(lo) + F.col("i") * F.lit(step)
+    u = (x - F.col("m")) / F.col("h")
+    summed = met.groupBy("g", "i").agg(F.sum(F.col("w") * F.exp(-u * u / 2) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("d"))
+    grid = band.select("g", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    return grid.join(summed, ["g", "i"], "left").select(F.col("g").alias(by), F.col("i").alias("point"), x.alias("x"), F.coalesce("d", F.lit(0.0)).alias("density"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lendspark import constants as K
 from lendspark.functions import bin_index, clip, feature_family, map_values, policy_band, row_mean, safe_divide, sigmoid
-from lendspark.operators.binning import employment_bucket, fit_quantile_edges, histogram, income_band, kde
+from lendspark.operators.binning import employment_bucket, fit_quantile_edges, histogram, income_band, kde, kde_binned
 from lendspark.operators.engineering import engineer_features
 from lendspark.operators.quantiles import exact_quantiles
 from lendspark.operators.segments import default_rate_by_segment, segment_column
@@ -136,3 +136,27 @@ def test_histogram_and_density(spark):
     assert [r.n for r in h] == [3, 3, 4] and h[-1].hi == 9.0
     d = kde(df.withColumn("g", F.lit(1)), "x", "g", points=400, limits=(-20.0, 30.0)).agg(F.sum("density")).first()[0]
     assert d * 50 / 399 == pytest.approx(1.0, abs=1e-3)
+
+
+@pytest.mark.parametrize("tolerance", [1e-3, 1e-6])
+def test_binned_density_keeps_its_bound(spark, tolerance):
+    import random
+
+    rng = random.Random(3)
+    rows = [("a", rng.gauss(0, 1)) for _ in range(1500)] + [("b", rng.expovariate(1)) for _ in range(700)] + [("b", 0.5)] * 300
+    odd = [("a", None), ("a", float("nan")), ("b", float("inf")), (None, 1.0), ("one", 2.0), ("flat", 1.0), ("flat", 1.0)]
+    df = spark.createDataFrame(rows + odd, "g string, v double").repartition(5)
+    clean = spark.createDataFrame(rows, "g string, v double")
+    for limits in (None, (-1.0, 1.5)):
+        got = {(r.g, r.point): r for r in kde_binned(df, "v", "g", 50, limits, tolerance).collect()}
+        want = kde(clean, "v", "g", 50, limits).collect()
+        assert len(got) == 100 and {g for g, _ in got} == {"a", "b"}
+        for g in "ab":
+            own = [v for k, v in rows if k == g]
+            mean = sum(own) / len(own)
+            h = math.sqrt(sum((v - mean) ** 2 for v in own) / (len(own) - 1)) * len(own) ** -0.2
+            bound = 2 * tolerance / (h * math.sqrt(2 * math.pi)) + 1e-12
+            for r in want:
+                if r.g == g:
+                    assert got[g, r.point].x == pytest.approx(r.x, abs=1e-9) and abs(got[g, r.point].density - r.density) <= bound
+    assert kde_binned(df.limit(0), "v", "g").count() == 0
