@@ -1,11 +1,10 @@
 """Line dedup: repeated runs of lines are deleted from every text but the first.
 
-Winnowing over line hashes: each window (the shortest run of lines from a line on, or up to a line, that has MIN_WORDS words) selects its
-line of smallest hash as a fingerprint.  Two texts that share a run of MIN_WORDS words or more share a window and so its
-fingerprint: that is guaranteed.  Only positions whose fingerprint occurs more than once go on.  From each, the match is extended
-both ways, to the whole windows that begin or end around it, and joined with the first position of that window's content.  Every line
-of a shared run lies in a window that begins at a line of the run or in one that ends at it, so the union of matched windows
-is the whole run, and it is found without comparing all pairs of its occurrences.
+A window is the shortest run of lines from a line on, or up to a line, that has MIN_WORDS words.  Every window has a content hash and is joined with
+the first position of that content; no window minima are selected and no match is extended line by line, as that needs pairs of
+occurrences.  Every line of a shared run lies in a window that begins at a line of the run or in one that ends at it, so the union
+of matched windows is the whole run, and it is found without comparing all pairs of its occurrences.  ``mark``, the smallest line hash of a
+window, only drops windows that the join on content would drop too.
 """
 
 from __future__ import annotations
@@ -73,7 +72,7 @@ def repeated_runs(df: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
     found = save(map_texts(own, "text", f"w {_WINDOWS}", make).select("key", "th", F.explode("w").alias("w")).select("key", "th", "w.*"))
     marks = found.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    # positions of shared fingerprints, each extended to its windows; the first position of each window's content
+    # windows whose mark repeats, and the first position of each window's content
     place = F.struct("key", "th", "a", "b")
     first = found.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = found.join(marks, "mark", "left_semi").join(first.select("body", "first"), "body")
