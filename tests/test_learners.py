@@ -95,6 +95,20 @@ def test_trees_equal_a_brute_force_search(spark, frame, imbalance, local, monkey
     assert other.trees.shape == (5, 3) and (other.trees["feature"][:, 0] >= 0).all()
 
 
+def test_rows_walk_each_tree_once_and_nothing_stays(spark, frame, monkeypatch):
+    train = only(frame, "train")
+    near = B.train_boosted(train, NAMES, n_trees=6, max_depth=2)
+    for name, value in (("LOCAL_BYTES", 0), ("REFRESH", 2), ("BLOCK_ROWS", 60), ("JOINED", 2), ("FAN_IN", 3)):
+        monkeypatch.setattr(B, name, value)
+    moves, kept = [], spark._jsc.getPersistentRDDs().size()
+    advanced = B._advanced
+    monkeypatch.setattr(B, "_advanced", lambda blocks, width, trees: moves.append(1) or advanced(blocks, width, trees))
+    far = B.train_boosted(train.repartition(5), NAMES, n_trees=6, max_depth=2)
+    assert (near.trees == far.trees).all()
+    assert len(moves) == 5  # margins go on with every tree, so no job walks older ones
+    assert spark._jsc.getPersistentRDDs().size() == kept
+
+
 def test_boosted_trees_are_stored_and_explained(spark, frame, tmp_path):
     train, test = only(frame, "train"), only(frame, "test")
     model = B.train_boosted(train, NAMES, n_trees=4, max_depth=3, learning_rate=0.3)
