@@ -181,6 +181,20 @@ def test_network_learns_stops_and_is_stored(spark, frame, tmp_path, monkeypatch)
     assert waited.config["epochs"] == 3  # no epoch is better than the first
 
 
+def test_chained_steps_equal_the_local_ones(spark, frame, monkeypatch):
+    train, val = only(frame, "train"), only(frame, "val")
+    args = dict(hidden=(6, 3), epochs=2, batch_size=40, id_col=K.ID, imbalance="none")
+    near = N.train_network(train, val, NAMES, **args)
+    monkeypatch.setattr(N, "LOCAL_BYTES", 0)
+    monkeypatch.setattr(N, "CHAIN", 7)
+    jobs, chained = [], N.chained
+    monkeypatch.setattr(N, "chained", lambda *a: jobs.append(len(a[2])) or chained(*a))
+    far = N.train_network(train.repartition(3), val, NAMES, **args)
+    assert N._flat(far.params) == pytest.approx(N._flat(near.params), abs=1e-12)
+    assert [h["loss"] for h in far.config["history"]] == pytest.approx([h["loss"] for h in near.config["history"]])
+    assert max(jobs) == 7 and sum(jobs) >= 2 * 13  # seven steps a job
+
+
 @pytest.mark.parametrize("local", [0, 10 ** 7])
 def test_joint_logistic_fits_have_no_gradient_left(spark, frame, monkeypatch, local):
     monkeypatch.setattr(W, "BLOCK_ROWS", 128)
