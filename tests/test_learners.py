@@ -109,6 +109,23 @@ def test_rows_walk_each_tree_once_and_nothing_stays(spark, frame, monkeypatch):
     assert spark._jsc.getPersistentRDDs().size() == kept
 
 
+def test_some_megabytes_take_no_job_a_level(spark, monkeypatch):
+    """9 MB of packed rows: each setting's trees grow in one task, not in a job a level, and are those that jobs grow."""
+    rows = spark.range(750_000).select((F.col("id") % 7 < 2).cast("int").alias("TARGET"), *[F.pmod(F.xxhash64("id", F.lit(f)), F.lit(90)).alias(f) for f in "abc"])
+    rows = rows.withColumn("a", F.when(F.col("a") < 80, F.col("a") + 9 * F.col("TARGET")))
+    grid = [{"max_depth": 2}, {"max_depth": 3, "learning_rate": 0.3, "imbalance": "none"}]
+
+    def no_job(*_):
+        raise AssertionError("a job a level")
+
+    with monkeypatch.context() as only_tasks:
+        only_tasks.setattr(B, "histograms", no_job)
+        near = B.train_boosted_grid(rows, ["a", "b", "c"], grid, n_trees=3)
+    monkeypatch.setattr(B, "LOCAL_BYTES", 0)
+    far = B.train_boosted_grid(rows, ["a", "b", "c"], grid, n_trees=3)
+    assert all((m.trees == n.trees).all() and (m.trees["feature"][:, 0] >= 0).all() for m, n in zip(near, far))
+
+
 def test_boosted_trees_are_stored_and_explained(spark, frame, tmp_path):
     train, test = only(frame, "train"), only(frame, "test")
     model = B.train_boosted(train, NAMES, n_trees=4, max_depth=3, learning_rate=0.3)
