@@ -7,6 +7,8 @@ from lendspark import constants as K
 from lendspark.functions import bin_index, clip, feature_family, map_values, policy_band, row_mean, safe_divide, sigmoid
 from lendspark.operators.binning import employment_bucket, fit_quantile_edges, histogram, income_band, kde, kde_binned
 from lendspark.operators.engineering import engineer_features
+from lendspark.operators import quantiles as Q
+from lendspark.operators.scaling import fit_scaler
 from lendspark.operators.quantiles import exact_quantiles
 from lendspark.operators.segments import default_rate_by_segment, segment_column
 
@@ -130,6 +132,38 @@ def test_narrowed_quantiles_equal_sorting(spark, bound):
             assert q == pytest.approx(want, abs=1e-12), (name, p)
 
 
+@pytest.mark.parametrize("bound", [2, 50])
+def test_wide_columns_need_no_long_form(spark, bound, monkeypatch):
+    """Large columns are counted where they lie, and give what ``percentile`` does, with nulls, NaN, both zeros, infinities and hot values."""
+    import random
+
+    rng = random.Random(8)
+    odd = [None, float("nan"), float("-inf"), -0.0, 0.0, 1e-310, -1e300, float("inf")]
+    rows = [(rng.choice(odd) if i % 9 == 0 else rng.expovariate(1) * rng.choice((-1, 1)), float(rng.random() < 0.3), None if i % 2 else i % 40, None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, y double, z int, void double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    want = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c) for c in "xyz"]).first()
+
+    def no_long(*_):
+        raise AssertionError("long form")
+
+    for name in ("to_long", "_narrowed"):
+        monkeypatch.setattr(Q, name, no_long)
+    monkeypatch.setattr(Q, "_PARTS", 64)
+    got = exact_quantiles(df, ["x", "y", "z", "void"], probs, exact_rows=bound)
+    assert set(got) == {"x", "y", "z"}
+    for c in got:
+        for g, w in zip(got[c], want[c], strict=True):
+            assert g == w or (math.isnan(g) and math.isnan(w)), c
+    monkeypatch.setattr(Q, "_MANY", 100)
+    assert exact_quantiles(df, ["y", "z"], [0.5]) == {"y": [0.0], "z": [19.0]}
+
+
+def test_scaler_of_columns_without_values(spark):
+    df = spark.createDataFrame([(1.0, 5, None), (3.0, 5, None), (None, 5, None)], "a double, b int, void double")
+    assert fit_scaler(df, ["void", "b", "a"]).stats == {"b": (5.0, 1.0), "a": (2.0, 1.0)}
+
+
 def test_histogram_and_density(spark):
     df = spark.createDataFrame([(float(i),) for i in range(10)] + [(None,)], "x double")
     h = histogram(df, "x", 3).orderBy("bin").collect()
