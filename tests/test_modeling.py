@@ -7,6 +7,8 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from lendspark.plans import catalog, catalog_models
+from lendspark.session import split_wide_projections
 from lendspark import constants as K
 from lendspark.operators import attribution as A
 from lendspark.operators import modeling as M
@@ -245,3 +247,21 @@ def test_pipeline_end_to_end(spark, sf, tmp_path):
     assert out["drift"].count() == 8
     decisions = score_portfolio(spark, Stages(str(tmp_path)), [r.feature for r in out["drift"].collect()])
     assert decisions.count() == n and decisions.where("recommendation IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("name", ["form_to_features", "sensitivity_scores"])
+def test_scorer_fits_hash_nothing_again(spark, sf, name, monkeypatch):
+    """Every pass of the fit reads tagged rows; it derives neither the split's hash nor the inputs again."""
+    plans, fit = [], catalog_models.R.fit_scorer_inputs
+    monkeypatch.setattr(catalog_models.R, "fit_scorer_inputs", lambda train: plans.append(train._jdf.queryExecution().optimizedPlan().toString()) or fit(train))
+    own = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+        catalog.QUERIES[name](spark, sf)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "9000")
+        split_wide_projections(spark)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "9000"  # the session's own
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", own)
+    assert plans and "md5" not in plans[0]
