@@ -15,6 +15,7 @@ from lendspark.operators import network as N
 from lendspark.operators import newton as W
 from lendspark.operators.metrics import areas
 from lendspark.operators.splitting import fit_stratified_split, only
+from lendspark.plans import catalog_models as P
 
 NAMES = ["a", "b", "c"]
 
@@ -158,6 +159,47 @@ def test_boosted_trees_are_stored_and_explained(spark, frame, tmp_path):
     assert [shap[f] for f in NAMES] == pytest.approx(np.abs(A.leaf_attributions(whole, leaves)).mean(axis=0), abs=1e-9)
 
 
+@pytest.mark.parametrize("depth,width", [(1, 3), (4, 6), (6, 5), (8, 9), (9, 4)])
+def test_shared_tables_equal_leaves(spark, depth, width, monkeypatch):
+    """Trees of any shape, with features that come again on a path; deep ones go by leaf."""
+    monkeypatch.setattr(A, "HELD_ROWS", 40)
+    monkeypatch.setattr(A, "CHUNK_ROWS", 16)
+    rng = np.random.default_rng(depth)
+    trees = np.zeros((3, (1 << depth + 1) - 1), dtype=B._NODE)
+    trees["feature"], trees["cover"][:, 0] = -1, 100.0
+    for tree in trees:
+        for k in range((1 << depth) - 1):
+            if tree["cover"][k] and (k < 3 or rng.random() < 0.8):
+                tree["feature"][k], tree["cut"][k], tree["null_left"][k] = rng.integers(width), np.round(rng.normal(), 1), rng.random() < 0.5
+                share = rng.random()
+                tree["cover"][2 * k + 1], tree["cover"][2 * k + 2] = tree["cover"][k] * share, tree["cover"][k] * (1 - share)
+                tree["value"][2 * k + 1:2 * k + 3] = rng.normal(size=2)
+    names = [f"f{i}" for i in range(width)]
+    model = B.BoostedTrees("gbt", names, trees)
+    x = np.round(rng.normal(size=(90, width)), 1)
+    x[rng.random(x.shape) < 0.15] = np.nan
+    expected = A.leaf_attributions(x, model.leaves())
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(x.tolist())], ["id", *names]).repartition(2)
+    got = {(r.id, r.feature): r.attribution for r in A.attributions(model, df, "id").collect()}
+    assert [got[i, f] for i in range(90) for f in names] == pytest.approx(expected.ravel().tolist(), abs=1e-12)
+    mean = {r.feature: r.shap_mean_abs for r in A.mean_abs_attribution(model, df, "id").collect()}
+    assert [mean[f] for f in names] == pytest.approx(np.abs(expected).mean(axis=0).tolist(), abs=1e-12)
+
+
+def test_attribution_query_explains_all_train_rows(spark, monkeypatch):
+    """6,000 train rows: the mean is over all of them, not over a sample."""
+    rows = spark.range(6200).select(F.col("id").alias(K.ID), F.when(F.col("id") < 6000, "train").otherwise("val").alias(K.SPLIT),
+                                    *[(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000).alias(c) for k, c in enumerate(NAMES)])
+    tree = np.zeros((1, 3), dtype=B._NODE)
+    tree["feature"], tree["cut"][0, 0], tree["cover"], tree["value"] = [0, -1, -1], 0.3, [[10.0, 3.0, 7.0]], [[0.0, 2.0, -1.0]]
+    monkeypatch.setattr(P, "input_frame", lambda spark, sf: rows)
+    monkeypatch.setattr(P, "selection_trees", lambda spark, sf: B.BoostedTrees("gbt", NAMES, tree))
+    monkeypatch.setattr(P, "_KEPT", {})
+    low = rows.where("SPLIT = 'train' and a <= 0.3").count() / 6000
+    got = {r.feature: r.shap_mean_abs for r in P.attribution_table(spark, "nowhere").collect()}
+    assert got["a"] == pytest.approx(low * (2 + 0.1) + (1 - low) * (1 - 0.1), abs=1e-12) and got["b"] == got["c"] == 0
+
+
 def test_boosting_of_nothing(spark, frame):
     for df in (frame.where("false"), frame.where("TARGET = 1"), frame.withColumn("TARGET", F.lit(None).cast("int"))):
         model = B.train_boosted(df, NAMES, n_trees=2, max_depth=2)
