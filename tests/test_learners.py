@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from lendspark.operators import attribution as A
 from lendspark.operators import boosting as B
 from lendspark.operators import network as N
 from lendspark.operators import newton as W
+from lendspark.operators import quantiles as Q
 from lendspark.operators.metrics import areas
 from lendspark.operators.splitting import fit_stratified_split, only
 from lendspark.plans import catalog_models as P
@@ -254,6 +256,37 @@ def test_chained_steps_equal_the_local_ones(spark, frame, monkeypatch):
     assert max(jobs) == 7 and sum(jobs) >= 2 * 13  # seven steps a job
 
 
+def test_fold_medians_take_no_long_form(spark, monkeypatch):
+    """Medians without each fold come from passes over the columns, of many values and few, and equal plain ones."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(3000, 3)), 2)
+    x[:, 1] = rng.choice([0.0, 1.0, np.nan], 3000)
+    x[:, 2] = np.nan
+    folds = rng.integers(0, 4, 3000)
+    rows = [(i, int(f) if f < 3 else None, *(None if i % 5 == 0 and np.isnan(v) else float(v) for v in r)) for i, (f, r) in enumerate(zip(folds, x))]
+    df = spark.createDataFrame(rows, "id long, f int, a double, b double, c double").repartition(3)
+    for few in (8192, 50):
+        monkeypatch.setattr(Q, "_FEW", few)
+        monkeypatch.setattr(Q, "_quantiles", lambda *a: pytest.fail("long form"))
+        got = W._medians(df, NAMES, [None, 0, 2], "f")
+        expected = [[float(np.nanmedian(c)) if (~np.isnan(c)).any() else 0.0 for c in x[(folds != w) | (folds == 3)].T] for w in (-5, 0, 2)]
+        assert got.tolist() == pytest.approx(np.array(expected))
+
+
+def test_wide_blocks_are_read_a_few_at_a_time(spark, monkeypatch):
+    """Readers hold a row group as one array a column, so blocks of megabytes need small row groups."""
+    df = spark.range(0, 9000, 1, 1).select((F.col("id") % 2).cast("int").alias("TARGET"), F.rand(1).alias("a"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    monkeypatch.setattr(W, "BLOCK_ROWS", 100)
+    try:
+        blocks = W._packed(df, ["a"], "TARGET", None, 9000)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert blocks.count() == 90
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in blocks.inputFiles()]
+    assert max(g.row_group(k).num_rows for g in groups for k in range(g.num_row_groups)) <= W.GROUP_BLOCKS
+
+
 @pytest.mark.parametrize("local", [0, 10 ** 7])
 def test_joint_logistic_fits_have_no_gradient_left(spark, frame, monkeypatch, local):
     monkeypatch.setattr(W, "BLOCK_ROWS", 128)
