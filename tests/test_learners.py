@@ -256,6 +256,40 @@ def test_chained_steps_equal_the_local_ones(spark, frame, monkeypatch):
     assert max(jobs) == 7 and sum(jobs) >= 2 * 13  # seven steps a job
 
 
+def test_features_move_in_one_pass(spark, frame, monkeypatch):
+    """Each feature's AUC drop, from rows moved once: the scores of plainly swapped rows."""
+    monkeypatch.setattr(A, "MOVED_ROWS", 50)
+    train, val = only(frame, "train"), only(frame, "val").where("TARGET is not null")
+    model = B.train_boosted(train, NAMES, n_trees=6, max_depth=3, learning_rate=0.3)
+    x, _ = rows_of(val)
+    moved = np.roll(x, 1, axis=0)
+    plain = [model.margins(x)]
+    for f in range(3):
+        swapped = x.copy()
+        swapped[:, f] = moved[:, f]
+        plain.append(model.margins(swapped))
+    assert [m.tolist() for m in model.margins_moved(x, moved)] == [m.tolist() for m in plain]
+    scored = []
+    monkeypatch.setattr(B.BoostedTrees, "score", lambda *a: scored.append(1))  # no scan of its own for each feature
+    drops = {r.feature: r.auc_drop for r in A.permutation_importance(model, val, K.ID, K.TARGET).collect()}
+    assert not scored and set(drops) == set(NAMES) and drops["a"] > 0.1 > abs(drops["c"])
+
+
+def test_some_megabytes_are_trained_on_in_one_task(spark, frame, monkeypatch):
+    """Beyond what the driver holds, but bounded: all epochs in a task, with the weights and validation areas of the other ways."""
+    train, val = only(frame, "train"), only(frame, "val")
+    args = dict(hidden=(6, 3), epochs=5, rate=0.02, batch_size=40, patience=2, id_col=K.ID)
+    driver = N.train_network(train, val, NAMES, **args)
+    monkeypatch.setattr(N, "LOCAL_BYTES", 10_000)
+    monkeypatch.setattr(N, "chained", lambda *a: pytest.fail("a job a chain"))
+    task = N.train_network(train.repartition(3), val, NAMES, **args)
+    assert N._flat(task.params) == pytest.approx(N._flat(driver.params), abs=1e-9)
+    assert [h["val_auc"] for h in task.config["history"]] == pytest.approx([h["val_auc"] for h in driver.config["history"]], abs=1e-12)
+    assert task.config["best_val_auc"] == pytest.approx(driver.config["best_val_auc"])
+    y = np.array([0, 1, 1, 0, 1.0])
+    assert N.auc_here(np.array([0.1, 0.1, 0.5, 0.5, 0.9]), y) == pytest.approx((2 + 1.5 + 0.5) / 6) and N.auc_here(y, y * 0) is None
+
+
 def test_fold_medians_take_no_long_form(spark, monkeypatch):
     """Medians without each fold come from passes over the columns, of many values and few, and equal plain ones."""
     rng = np.random.default_rng(8)
